@@ -27,17 +27,32 @@ def _merge(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.
     return y[heads], a[heads], reach[tails] - y[heads].astype(np.int64) * wide + a.min()
 
 
+def _ring_pixels(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pixels of the 8-connected lines between consecutive vertices."""
+    steps = np.maximum(np.maximum(np.abs(x1 - x0), np.abs(y1 - y0)), 1)
+    edge = np.repeat(np.arange(len(x0)), steps + 1)
+    t = np.arange(len(edge)) - np.repeat(np.cumsum(steps + 1) - steps - 1, steps + 1)
+    line_x = np.floor(x0[edge] + t * (x1 - x0)[edge] / steps[edge] + 0.5).astype(np.int64)
+    line_y = np.floor(y0[edge] + t * (y1 - y0)[edge] / steps[edge] + 0.5).astype(np.int64)
+    return line_x, line_y
+
+
+def ring_spans(xs: np.ndarray, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row spans of a polygon's outline alone."""
+    x0, y0 = np.asarray(xs, dtype=np.int64), np.asarray(ys, dtype=np.int64)
+    if len(x0) == 0:
+        return x0, x0, x0
+    x, y = _ring_pixels(x0, y0, np.roll(x0, -1), np.roll(y0, -1))
+    return _merge(y, x, x)
+
+
 def polygon_spans(xs: np.ndarray, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row spans (y, first x, last x) of a filled polygon, its outline included."""
     x0, y0 = np.asarray(xs, dtype=np.int64), np.asarray(ys, dtype=np.int64)
     if len(x0) == 0:
         return x0, x0, x0
     x1, y1 = np.roll(x0, -1), np.roll(y0, -1)
-    steps = np.maximum(np.maximum(np.abs(x1 - x0), np.abs(y1 - y0)), 1)
-    edge = np.repeat(np.arange(len(x0)), steps + 1)
-    t = np.arange(len(edge)) - np.repeat(np.cumsum(steps + 1) - steps - 1, steps + 1)
-    line_x = np.floor(x0[edge] + t * (x1 - x0)[edge] / steps[edge] + 0.5).astype(np.int64)
-    line_y = np.floor(y0[edge] + t * (y1 - y0)[edge] / steps[edge] + 0.5).astype(np.int64)
+    line_x, line_y = _ring_pixels(x0, y0, x1, y1)
 
     top, bottom = np.minimum(y0, y1), np.maximum(y0, y1)
     rows = bottom - top

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 
 from boardlens.functions import geometry as G
 from boardlens.functions.sqlfuncs import register_sql
-from boardlens.operators import evaluation, joins, matching, pairs, raster, splitting, stats, stitching
+from boardlens.operators import evaluation, joins, matching, pairs, pixels, raster, scoring, splitting, stats, stitching
+from boardlens.operators.lineage import checkpoint_folder
 from boardlens.plans import derived as D
 from boardlens.sources import labels, writers
+from boardlens.streaming import incremental
 
 FRAME = ["board", "frame"]
 SEED = 42
@@ -365,6 +368,82 @@ def average_precision_masks(spark: SparkSession, d: str) -> DataFrame:
     return _r6(evaluation.evaluate_detections(D.detection_polygons(spark, d), gts, kind="mask").per_class, "ap")
 
 
+# -- pixels and models ---------------------------------------------------------------------------
+
+
+def inspect_frames(spark: SparkSession, d: str) -> DataFrame:
+    out = pixels.inspect_frames(D.thumbnails(spark, d), D.thumbnail_boxes(spark, d), near_gap_min_px=0.5)
+    return _r6(out, "dark")
+
+
+def mosaic_ownership(spark: SparkSession, d: str) -> DataFrame:
+    return pixels.mosaic_ownership(D.frames(spark, d))
+
+
+def overlay_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Extent of each board's layers in canvas coordinates."""
+    seg = D.detections(spark, d).select(*FRAME, G.box_polygon(G.box_cols()).alias("polygon"))
+    shapes = pixels.collect_overlays(D.boxes(spark, d), seg)
+    box = G.polygon_bbox("polygon")
+    return shapes.select("layer", "board", box.alias("b")).groupBy("layer", "board").agg(
+        F.count(F.lit(1)).alias("shapes"), F.min("b.x1").alias("left_x"), F.max("b.x2").alias("right_x")
+    )
+
+
+def _thumb_canvas(spark: SparkSession, d: str) -> DataFrame:
+    dims = D.frames(spark, d).withColumns({"img_w": F.lit(D.THUMB_W), "img_h": F.lit(D.THUMB_H)})
+    return stats.board_canvas(dims, D.THUMB_STRIDE)
+
+
+def board_mosaic(spark: SparkSession, d: str) -> DataFrame:
+    """Mosaic tiles with ground-truth and prediction outlines drawn on them."""
+    canvas = _thumb_canvas(spark, d)
+    tiles = pixels.board_mosaic(D.thumbnails(spark, d), canvas, D.THUMB_STRIDE)
+    small = [(F.col(c) / D.THUMB_SCALE).cast("int") for c in ("x1", "y1", "x2", "y2")]
+    shape = lambda df, name: pixels.collect_overlays(
+        df.select(*FRAME, *[c.alias(n) for c, n in zip(small, pairs.BOX)]), stride=D.THUMB_STRIDE
+    ).withColumn("layer", F.lit(name))
+    layers = shape(D.boxes(spark, d), "gt").unionByName(shape(_kept(spark, d), "pred"))
+    drawn = pixels.overlay_outlines(tiles, layers, canvas, width=1, stride=D.THUMB_STRIDE)
+    return drawn.select("board", "slot", "x0", "width", "height", F.md5("bgr").alias("bgr_md5"))
+
+
+def decode_masks(spark: SparkSession, d: str) -> DataFrame:
+    found = scoring.decode_masks(D.tensors(spark, d), net=4 * D.PROTO_SIDE, proto=D.PROTO_SIDE)
+    return found.select(*FRAME, "det_id", "confidence", "cls", F.size("polygon").alias("vertices"), "bbox.*")
+
+
+def _bright_region(image, box, centre):
+    return image[:, :, 2] > 90
+
+
+def pseudo_label(spark: SparkSession, d: str) -> DataFrame:
+    """Outlines of the bright pixels inside every box of the thumbnails."""
+    whole = {c: (f(F.col(c))).cast("int") for c, f in zip(pairs.BOX, (F.floor, F.floor, F.ceil, F.ceil))}
+    boxes = D.thumbnail_boxes(spark, d).withColumns(whole).withColumnsRenamed({"ann_id": "line_no"}).withColumn("cls", F.lit(0))
+    out = scoring.pseudo_label(D.thumbnails(spark, d), boxes, _bright_region)
+    line = G.seg_text("polygon", F.col("img_w"), F.col("img_h"), F.col("cls"))
+    return out.select(*FRAME, "line_no", "fallback", line.alias("line"))
+
+
+def refreshed_boards(spark: SparkSession, d: str) -> DataFrame:
+    """Boards merged by the streaming job after two deliveries of frames."""
+    root = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
+    dets = D.detection_polygons(spark, d).filter("conf >= 0.25")
+    f32 = lambda c: F.col(c).cast("float").alias(c)
+    each = F.struct(F.struct(*map(f32, pairs.BOX)).alias("bbox"), F.col("conf").cast("float").alias("confidence"), "cls", "polygon")
+    per_frame = dets.groupBy(*FRAME).agg(F.collect_list(each).alias("detections"))
+    rows = D.frames(spark, d).join(per_frame, FRAME, "left")
+    for parity in (0, 1):
+        incremental.write_frame_table(rows.filter(F.col("frame") % 2 == parity), f"{root}/frames", 512)
+        job = incremental.incremental_boards(
+            spark, f"{root}/frames", f"{root}/boards", f"{root}/state", boards_per_folder=512
+        )
+        job.awaitTermination()
+    merged = spark.read.parquet(f"{root}/boards").filter("poly_id is not null")
+    return merged.select("board", "poly_id", "area", "x1", "y1", "x2", "y2", F.size("polygon").alias("vertices"))
+
+
 def queries() -> dict[str, Query]:
     listed = [
         frame_keys, labels_float, labels_int, labels_strict, label_rejects, seg_label_text, labels_seg, polygon_metrics,
@@ -374,6 +453,7 @@ def queries() -> dict[str, Query]:
         split_leaks, partitions_document, staging_join, staging_summary, iou_pairs, match_candidates, greedy_match,
         match_scores, board_set_ops, resume_antijoin, mask_iou_rects, merge_spans, union_area, union_components, stitch_gt,
         stitch_boards, board_documents, eval_boards, eval_aggregate, average_precision, detection_summary,
-        average_precision_masks,
+        average_precision_masks, inspect_frames, mosaic_ownership, overlay_layers, board_mosaic, decode_masks, pseudo_label,
+        refreshed_boards,
     ]
     return {**{q.__name__: q for q in listed}, "board_features": board_features_rounded}

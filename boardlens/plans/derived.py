@@ -8,8 +8,11 @@ displaced; all rows of ``lineitem`` take part and nothing is sampled.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FRAME_W, FRAME_H, STRIDE = 640, 220, 320
 FRAME = ["board", "frame"]
@@ -144,3 +147,64 @@ def detection_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
         point(x2 - c, y2), point(x1 + c, y2), point(x1, y2 - c), point(x1, y1 + c),
     )
     return detections(spark, sf_dir).withColumn("polygon", ring)
+
+
+# -- pixels ------------------------------------------------------------------------------
+
+THUMB_W, THUMB_H, THUMB_STRIDE, THUMB_SCALE = 32, 11, 16, 20
+
+
+@F.pandas_udf(T.BinaryType())
+def _thumbnail(board: pd.Series, frame: pd.Series) -> pd.Series:
+    x, y = np.meshgrid(np.arange(THUMB_W), np.arange(THUMB_H))
+    out = []
+    for b, f in zip(board.astype(int), frame.astype(int)):
+        red = (x * 7 + y * 13 + b * 3 + f * 5) % 97 + 60
+        green = (x * 3 + y * 5 + b + f * 7) % 61 + 40
+        blue = (x + y * 11 + b * 7 + f) % 53 + 20
+        border = (y < 1 + (b + f) % 3) | (y >= THUMB_H - 1 - b % 2) | ((b + f) % 41 == 0)
+        image = np.stack([np.where(border, (x + y) % 25, c) for c in (blue, green, red)], axis=2)
+        out.append(image.astype(np.uint8).tobytes())
+    return pd.Series(out)
+
+
+def thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small picture per frame: a brown strip between dark borders, some frames all dark."""
+    return frames(spark, sf_dir).select(
+        *FRAME,
+        F.lit(THUMB_W).alias("img_w"),
+        F.lit(THUMB_H).alias("img_h"),
+        F.lit(3).alias("channels"),
+        _thumbnail("board", "frame").alias("pixels"),
+        F.lit(True).alias("ok"),
+    )
+
+
+def thumbnail_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The annotation boxes at thumbnail scale."""
+    scaled = {c: F.col(c).cast("double") / THUMB_SCALE for c in ("x1", "y1", "x2", "y2")}
+    return boxes(spark, sf_dir).withColumns(scaled)
+
+
+PROTO_SIDE = 8  # prototypes of the derived tensors; their network size is four times that
+
+
+@F.pandas_udf(T.BinaryType())
+def _prototypes(board: pd.Series, frame: pd.Series) -> pd.Series:
+    n = 32 * PROTO_SIDE * PROTO_SIDE
+    base = np.arange(n, dtype=np.int64)
+    return pd.Series(
+        [(((base * 31 + b * 7 + f * 13) % 17 - 8).astype(np.float32) / 8).tobytes() for b, f in zip(board.astype(int), frame.astype(int))]
+    )
+
+
+def tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model outputs per frame: its detections as rows of 38 numbers and mask prototypes."""
+    coefs = [((F.col("det_id") * (k + 3) % 11) - 5).cast("float") for k in range(32)]
+    grow = {"x1": -4.0, "y1": 6.0, "x2": 4.0, "y2": 14.0}  # a margin, and the letterbox pad of 10 rows
+    corner = [(F.col(c).cast("double") / THUMB_SCALE + by).cast("float") for c, by in grow.items()]
+    row = F.array(*corner, F.col("conf").cast("float"), F.col("cls").cast("float"), *coefs)
+    per_frame = detections(spark, sf_dir).groupBy(*FRAME).agg(F.array_sort(F.collect_list(row)).alias("dets"))
+    return per_frame.select(
+        *FRAME, F.lit(THUMB_W).alias("img_w"), F.lit(THUMB_H).alias("img_h"), "dets", _prototypes("board", "frame").alias("protos")
+    )

@@ -227,6 +227,20 @@ fc_e AS MATERIALIZED (SELECT a_ann_id AS s, b_ann_id AS d FROM near UNION ALL SE
 fc_r AS (SELECT ann_id AS root, ann_id AS id FROM uniq UNION SELECT r.root, e.d FROM fc_r r JOIN fc_e e ON e.s = r.id),
 fc AS (SELECT u.board, u.frame, u.copies, c.comp FROM uniq u JOIN (SELECT id, min(root) AS comp FROM fc_r GROUP BY id) c ON c.id = u.ann_id)"""
 
+_PIXELS = """
+px AS (SELECT board, frame, x, y, (19595 * r + 38470 * g + 7471 * b + 32768) // 65536 AS lum, greatest(r, g, b) - least(r, g, b) AS chroma FROM (
+  SELECT board, frame, x, y, CASE WHEN dk THEN (x + y) % 25 ELSE (x * 7 + y * 13 + board * 3 + frame * 5) % 97 + 60 END AS r,
+    CASE WHEN dk THEN (x + y) % 25 ELSE (x * 3 + y * 5 + board + frame * 7) % 61 + 40 END AS g,
+    CASE WHEN dk THEN (x + y) % 25 ELSE (x + y * 11 + board * 7 + frame) % 53 + 20 END AS b
+  FROM (SELECT board, frame, x, y, y < 1 + (board + frame) % 3 OR y >= 10 - board % 2 OR (board + frame) % 41 = 0 AS dk
+    FROM frames, (SELECT unnest(range(0, 32)) AS x) a, (SELECT unnest(range(0, 11)) AS y) c))),
+strip AS (SELECT board, frame, CAST(min(y) AS INTEGER) AS top, CAST(max(y) AS INTEGER) AS last FROM (
+  SELECT board, frame, y FROM px GROUP BY board, frame, y HAVING count(*) FILTER (lum > 30) >= 16) GROUP BY board, frame),
+cover AS (SELECT DISTINCT board, frame, x, unnest(range(greatest(0, CAST(floor(y1) AS BIGINT)), least(11, CAST(ceil(y2) AS BIGINT)))) AS y FROM (
+  SELECT *, unnest(range(greatest(0, CAST(floor(x1) AS BIGINT)), least(32, CAST(ceil(x2) AS BIGINT)))) AS x FROM floats)),
+dark AS (SELECT board, frame, count(*) FILTER (lum > 30 AND lum <= 120 AND chroma >= 15) / CAST(count(*) AS DOUBLE) AS dark
+  FROM px JOIN strip USING (board, frame) ANTI JOIN cover USING (board, frame, x, y) WHERE y BETWEEN top AND last GROUP BY board, frame)"""
+
 _AP = f"""
 ag AS (SELECT board, frame, x1, y1, x2, y2, min(ann_id) AS gt_id FROM boxes GROUP BY ALL),
 ad AS (SELECT board, frame, x1, y1, x2, y2, max(conf) AS conf, arg_max(det_id, conf * 1e9 - det_id * 1e-9) AS det_id
@@ -437,7 +451,19 @@ def statements() -> dict[str, str]:
         "overlay_layers": _q(
             """SELECT layer, board, count(*) AS shapes, min(x1) AS left_x, max(x2) AS right_x FROM (
                SELECT 'boxes' AS layer, board, x1 + frame * 320 AS x1, x2 + frame * 320 AS x2 FROM boxes
-               UNION ALL SELECT 'predictions', board, x1 + frame * 320, x2 + frame * 320 FROM dets) GROUP BY layer, board"""
+               UNION ALL SELECT 'seg', board, x1 + frame * 320, x2 + frame * 320 FROM dets) GROUP BY layer, board"""
+        ),
+        "inspect_frames": _q(
+            """SELECT f.board, f.frame, 32 AS img_w, 11 AS img_h, coalesce(s.top, -1) AS top, coalesce(10 - s.last, -1) AS bot,
+               round(coalesce(d.dark, 0), 6) AS dark, coalesce(e.annot, 0) AS annot, coalesce(e.edge, 0) AS edge, coalesce(c.clusters, 0) AS clusters
+               FROM frames f LEFT JOIN strip s USING (board, frame) LEFT JOIN dark d USING (board, frame)
+               LEFT JOIN (SELECT board, frame, count(*) AS annot, CAST(sum(CASE WHEN x1 <= 1 OR 32 - x2 <= 1 OR y1 <= 1 OR 11 - y2 <= 1 THEN 1 ELSE 0 END) AS BIGINT) AS edge
+                 FROM floats GROUP BY board, frame) e USING (board, frame)
+               LEFT JOIN (SELECT board, frame, count(*) AS clusters FROM (SELECT board, frame, comp FROM fc GROUP BY ALL HAVING sum(copies) >= 2)
+                 GROUP BY board, frame) c USING (board, frame)""",
+            "floats AS (SELECT board, frame, ann_id, x1 / 20.0::DOUBLE AS x1, y1 / 20.0::DOUBLE AS y1, x2 / 20.0::DOUBLE AS x2, y2 / 20.0::DOUBLE AS y2 "
+            "FROM boxes SEMI JOIN frames USING (board, frame))",
+            _FRAME_CLUSTERS.replace("5.0::DOUBLE", "0.5::DOUBLE"), _PIXELS, recursive=True,
         ),
         "pseudo_label_quality": _q(
             """SELECT (SELECT count(*) FROM st WHERE nb > 0) AS processed, 0::BIGINT AS skipped, (SELECT count(*) FROM st WHERE nb = 0) AS empty,
@@ -463,16 +489,18 @@ def statements() -> dict[str, str]:
         ),
         "eval_boards": _q(
             """SELECT board, pred_count, gt_count, tp, fp, fn, round(CAST(p AS DOUBLE), 6) AS precision, round(CAST(r AS DOUBLE), 6) AS recall,
-               round(CASE WHEN p + r > 0 THEN 2 * CAST(p AS DOUBLE) * r / (CAST(p AS DOUBLE) + r) END, 5) AS f1, round(mean_iou, 5) AS mean_iou FROM per_board""",
+               round(CASE WHEN p + r > 0 THEN 2 * CAST(p AS DOUBLE) * r / (CAST(p AS DOUBLE) + r) END, 5) AS f1,
+               round(CAST(CAST(mean_iou AS FLOAT) AS DOUBLE), 5) AS mean_iou FROM per_board""",
             _EVAL, recursive=True,
         ),
         "eval_aggregate": _q(
             """SELECT boards, total_pred, total_gt, total_tp, total_fp, total_fn, round(total_tp / CAST(total_pred AS DOUBLE), 5) AS precision,
-               round(total_tp / CAST(total_gt AS DOUBLE), 5) AS recall, round(s / total_tp, 5) AS mean_iou_micro, round(macro, 5) AS mean_iou_macro,
+               round(total_tp / CAST(total_gt AS DOUBLE), 5) AS recall, round(CAST(CAST(s / total_tp AS FLOAT) AS DOUBLE), 5) AS mean_iou_micro,
+               round(CAST(CAST(macro AS FLOAT) AS DOUBLE), 5) AS mean_iou_macro,
                gt_distinct_total, gt_merged_away_total, round(100.0 * gt_merged_away_total / gt_distinct_total, 5) AS over_merge_pct
                FROM (SELECT count(*) AS boards, CAST(sum(pred_count) AS BIGINT) AS total_pred, CAST(sum(gt_count) AS BIGINT) AS total_gt,
                  CAST(sum(tp) AS BIGINT) AS total_tp, CAST(sum(fp) AS BIGINT) AS total_fp, CAST(sum(fn) AS BIGINT) AS total_fn, sum(iou_sum) AS s,
-                 avg(CASE WHEN tp > 0 THEN mean_iou END) AS macro, CAST(sum(d) AS BIGINT) AS gt_distinct_total,
+                 avg(CASE WHEN tp > 0 THEN CAST(CAST(mean_iou AS FLOAT) AS DOUBLE) END) AS macro, CAST(sum(d) AS BIGINT) AS gt_distinct_total,
                  CAST(sum(greatest(0, d - gt_count)) AS BIGINT) AS gt_merged_away_total
                FROM per_board JOIN (SELECT board, count(DISTINCT comp) AS d FROM inst GROUP BY board) USING (board))""",
             _EVAL, _instances(), recursive=True,
