@@ -70,11 +70,9 @@ def round_half_even(c: Column) -> Column:
 
 
 def round_half_away(c: Column) -> Column:
-    """Half away from zero. Works on the float value itself, not on its decimal text."""
+    """Half away from zero, for values of float32 precision (adding a half is then exact)."""
     d = c.cast("double")
-    whole = F.floor(F.abs(d))
-    up = F.when(F.abs(d) - whole >= 0.5, whole + 1).otherwise(whole)
-    return F.when(d < 0, -up).otherwise(up).cast("int")
+    return (F.signum(d) * F.floor(F.abs(d) + 0.5)).cast("int")
 
 
 def clip_box(box: Box, w: Column, h: Column) -> Box:

@@ -12,84 +12,123 @@ _STEP_X = (1, 1, 0, -1, -1, -1, 0, 1)
 _STEP_Y = (0, 1, 1, 1, 0, -1, -1, -1)
 
 
-def _merge(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Union of intervals per row; touching intervals fuse."""
-    if len(y) == 0:
-        return y, a, b
-    order = np.lexsort((a, y))
-    y, a, b = y[order], a[order], b[order]
-    wide = int(b.max() - a.min()) + 4
-    reach = np.maximum.accumulate(y.astype(np.int64) * wide + (b - a.min()))
-    start = np.ones(len(y), dtype=bool)
-    start[1:] = y[1:].astype(np.int64) * wide + (a[1:] - a.min()) > reach[:-1] + 1
-    heads = np.flatnonzero(start)
-    tails = np.append(heads[1:], len(y)) - 1
-    return y[heads], a[heads], reach[tails] - y[heads].astype(np.int64) * wide + a.min()
-
-
-def _ring_pixels(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pixels of the 8-connected lines between consecutive vertices."""
-    steps = np.maximum(np.maximum(np.abs(x1 - x0), np.abs(y1 - y0)), 1)
-    edge = np.repeat(np.arange(len(x0)), steps + 1)
-    t = np.arange(len(edge)) - np.repeat(np.cumsum(steps + 1) - steps - 1, steps + 1)
-    line_x = np.floor(x0[edge] + t * (x1 - x0)[edge] / steps[edge] + 0.5).astype(np.int64)
-    line_y = np.floor(y0[edge] + t * (y1 - y0)[edge] / steps[edge] + 0.5).astype(np.int64)
-    return line_x, line_y
-
-
-def ring_spans(xs: np.ndarray, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row spans of a polygon's outline alone."""
-    x0, y0 = np.asarray(xs, dtype=np.int64), np.asarray(ys, dtype=np.int64)
-    if len(x0) == 0:
-        return x0, x0, x0
-    x, y = _ring_pixels(x0, y0, np.roll(x0, -1), np.roll(y0, -1))
-    return _merge(y, x, x)
-
-
-def polygon_spans(xs: np.ndarray, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row spans (y, first x, last x) of a filled polygon, its outline included."""
-    x0, y0 = np.asarray(xs, dtype=np.int64), np.asarray(ys, dtype=np.int64)
-    if len(x0) == 0:
-        return x0, x0, x0
-    x1, y1 = np.roll(x0, -1), np.roll(y0, -1)
-    line_x, line_y = _ring_pixels(x0, y0, x1, y1)
-
-    top, bottom = np.minimum(y0, y1), np.maximum(y0, y1)
-    rows = bottom - top
-    crossing = np.repeat(np.arange(len(x0)), rows)
-    if len(crossing):
-        row = top[crossing] + np.arange(len(crossing)) - np.repeat(np.cumsum(rows) - rows, rows)
-        at = x0[crossing] + (row - y0[crossing]) * (x1 - x0)[crossing] / (y1 - y0)[crossing]
+Spans = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def merge_rows(row: np.ndarray, a: np.ndarray, b: np.ndarray) -> Spans:
+    """Union of intervals per row number; touching intervals fuse."""
+    if len(row) == 0:
+        return row, a, b
+    base = int(a.min())
+    wide = int(b.max()) - base + 4
+    start = row.astype(np.int64) * wide + (a - base)
+    order = np.argsort(start, kind="stable")
+    start = start[order]
+    reach = np.maximum.accumulate((row.astype(np.int64) * wide + (b - base))[order])
+    fresh = np.ones(len(start), dtype=bool)
+    fresh[1:] = start[1:] > reach[:-1] + 1
+    heads = np.flatnonzero(fresh)
+    tails = np.append(heads[1:], len(start)) - 1
+    out = start[heads] // wide
+    return out, start[heads] - out * wide + base, reach[tails] - out * wide + base
+
+
+def _counter(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and position of every element of consecutive blocks of the given lengths."""
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+class Rings:
+    """The edges of a batch of closed polygons in flat arrays."""
+
+    def __init__(self, xs: list[np.ndarray], ys: list[np.ndarray]):
+        size = np.array([len(x) for x in xs], dtype=np.int64)
+        flat = lambda parts: np.concatenate(parts).astype(np.int64) if len(parts) else np.empty(0, np.int64)
+        self.x0, self.y0 = flat(xs), flat(ys)
+        self.poly = np.repeat(np.arange(len(size)), size)
+        following = np.arange(len(self.x0)) + 1
+        ends = np.cumsum(size)[size > 0]
+        following[ends - 1] = ends - size[size > 0]
+        self.x1, self.y1 = self.x0[following], self.y0[following]
+        self.top = int(self.y0.min()) if len(self.y0) else 0
+        self.height = (int(self.y0.max()) - self.top + 1) if len(self.y0) else 1
+
+    def row(self, poly: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return poly * self.height + (y - self.top)
+
+    def unrow(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        poly = row // self.height
+        return poly, row - poly * self.height + self.top
+
+    def border(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns of the 8-connected lines between consecutive vertices."""
+        dx, dy = self.x1 - self.x0, self.y1 - self.y0
+        steps = np.maximum(np.maximum(np.abs(dx), np.abs(dy)), 1)
+        edge, t = _counter(steps + 1)
+        x = np.floor(self.x0[edge] + t * dx[edge] / steps[edge] + 0.5).astype(np.int64)
+        y = np.floor(self.y0[edge] + t * dy[edge] / steps[edge] + 0.5).astype(np.int64)
+        return self.row(self.poly[edge], y), x
+
+    def interior(self) -> Spans:
+        """Even-odd scan lines through the pixel centres."""
+        top, rows = np.minimum(self.y0, self.y1), np.abs(self.y1 - self.y0)
+        edge, t = _counter(rows)
+        y = top[edge] + t
+        dx, dy = self.x1 - self.x0, self.y1 - self.y0
+        at = self.x0[edge] + (y - self.y0[edge]) * dx[edge] / dy[edge]
+        row = self.row(self.poly[edge], y)
         order = np.lexsort((at, row))
         row, at = row[order], at[order]
         left, right = np.ceil(at[0::2] - 1e-9).astype(np.int64), np.floor(at[1::2] + 1e-9).astype(np.int64)
-        inner = left <= right
-        y = np.concatenate([line_y, row[0::2][inner]])
-        a = np.concatenate([line_x, left[inner]])
-        b = np.concatenate([line_x, right[inner]])
-    else:
-        y, a, b = line_y, line_x, line_x
-    return _merge(y, a, b)
-
-
-def span_overlap(p: tuple, q: tuple) -> int:
-    """Pixels two span sets share."""
-    if len(p[0]) == 0 or len(q[0]) == 0:
-        return 0
-    y = np.concatenate([p[0], q[0]])
-    a, b = np.concatenate([p[1], q[1]]), np.concatenate([p[2], q[2]])
-    my, ma, mb = _merge(y, a, b)
-    area = lambda s: int((s[2] - s[1] + 1).sum())
-    return area(p) + area(q) - area((my, ma, mb))
-
-
-def mask_iou(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray) -> float:
-    if len(ax) < 3 or len(bx) < 3:
-        return 0.0
-    p, q = polygon_spans(ax, ay), polygon_spans(bx, by)
-    inter = span_overlap(p, q)
-    total = int((p[2] - p[1] + 1).sum()) + int((q[2] - q[1] + 1).sum()) - inter
-    return float(np.float32(inter / total)) if total else 0.0
+        solid = left <= right
+        return row[0::2][solid], left[solid], right[solid]
+
+    def filled(self) -> Spans:
+        row, x = self.border()
+        inner = self.interior()
+        return merge_rows(np.concatenate([row, inner[0]]), np.concatenate([x, inner[1]]), np.concatenate([x, inner[2]]))
+
+
+def filled_spans(xs: list[np.ndarray], ys: list[np.ndarray]) -> list[np.ndarray]:
+    """Row spans of each filled polygon, its outline included, as flat y, first x, last x triples."""
+    rings = Rings(xs, ys)
+    row, a, b = rings.filled()
+    return _per_polygon(rings, row, a, b, len(xs))
+
+
+def brushed_outlines(xs: list[np.ndarray], ys: list[np.ndarray], width: int) -> list[np.ndarray]:
+    """Row spans of each outline drawn with a square brush, as flat triples."""
+    rings = Rings(xs, ys)
+    row, x = rings.border()
+    poly, y = rings.unrow(row)
+    lo, hi = (width - 1) // 2, width // 2
+    rings.top, rings.height = rings.top - lo, rings.height + lo + hi
+    grown = np.concatenate([rings.row(poly, y + dy) for dy in range(-lo, hi + 1)])
+    row, a, b = merge_rows(grown, np.tile(x - lo, lo + hi + 1), np.tile(x + hi, lo + hi + 1))
+    return _per_polygon(rings, row, a, b, len(xs))
+
+
+def _per_polygon(rings: Rings, row: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> list[np.ndarray]:
+    poly, y = rings.unrow(row)
+    triples = np.column_stack([y, a, b]).astype(np.int32)
+    cuts = np.searchsorted(poly, np.arange(1, n))
+    return [part.ravel() for part in np.split(triples, cuts)]
+
+
+def mask_ious(ax: list[np.ndarray], ay: list[np.ndarray], bx: list[np.ndarray], by: list[np.ndarray]) -> np.ndarray:
+    """Raster IoU of polygon pairs, all pairs of a batch at once; fewer than three vertices give 0."""
+    n = len(ax)
+    rings = Rings([*ax, *bx], [*ay, *by])
+    row, a, b = rings.filled()
+    area = np.bincount(row // rings.height, weights=b - a + 1, minlength=2 * n)
+    pair_row = row % rings.height + row // rings.height % n * rings.height if n else row
+    both = merge_rows(pair_row, a, b)
+    union = np.bincount(both[0] // rings.height, weights=both[2] - both[1] + 1, minlength=n)
+    total = area[:n] + area[n:]
+    shaped = np.array([len(p) >= 3 and len(q) >= 3 for p, q in zip(ax, bx)], dtype=bool)
+    ratio = np.divide(total - union, union, out=np.zeros(n), where=(union > 0) & shaped)
+    return ratio.astype(np.float32)
 
 
 def spans_to_mask(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, int, int]:
@@ -127,39 +166,84 @@ def trace_border(mask: np.ndarray) -> np.ndarray:
     return np.column_stack([flat % width, flat // width])
 
 
-def simplify_closed(points: np.ndarray, eps: float) -> np.ndarray:
+def _farthest(ring: list[tuple[int, int]], x: int, y: int) -> int:
+    return max(range(len(ring)), key=lambda i: (ring[i][0] - x) ** 2 + (ring[i][1] - y) ** 2)
+
+
+def simplify_closed(points: list[tuple[int, int]], eps: float) -> list[tuple[int, int]]:
     """Douglas-Peucker on a closed ring, split at two far points."""
     n = len(points)
     if n < 3:
         return points
-    pts = points.astype(np.float64)
-    a = int(((pts - pts[0]) ** 2).sum(axis=1).argmax())
-    b = int(((pts - pts[a]) ** 2).sum(axis=1).argmax())
-    if a == b:
+    a = _farthest(points, *points[0])
+    b = _farthest(points, *points[a])
+    if points[a] == points[b]:
         return points[:1]
-    first, second = sorted((a, b))
-    ring = np.vstack([pts, pts])
+    first, second = min(a, b), max(a, b)
+    ring = points + points
     keep = {first, second}
     stack = [(first, second), (second, first + n)]
     while stack:
         i, j = stack.pop()
         if j - i < 2:
             continue
-        start, chord = ring[i], ring[j] - ring[i]
-        rel = ring[i + 1 : j] - start
-        length = float(np.hypot(*chord))
-        dist = np.abs(rel[:, 0] * chord[1] - rel[:, 1] * chord[0]) / length if length else np.hypot(rel[:, 0], rel[:, 1])
-        far = int(dist.argmax())
-        if dist[far] > eps:
-            m = i + 1 + far
-            keep.add(m % n)
-            stack += [(i, m), (m, j)]
-    return points[sorted(keep)]
-
-
-def ring_area(points: np.ndarray) -> float:
-    x, y = points[:, 0].astype(np.float64), points[:, 1].astype(np.float64)
-    return abs(float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum())) / 2
+        (x0, y0), (x1, y1) = ring[i], ring[j]
+        dx, dy = x1 - x0, y1 - y0
+        far, best = i, -1
+        if dx or dy:
+            for k in range(i + 1, j):
+                x, y = ring[k]
+                off = abs((x - x0) * dy - (y - y0) * dx)
+                if off > best:
+                    far, best = k, off
+            over = best * best > eps * eps * (dx * dx + dy * dy)
+        else:
+            for k in range(i + 1, j):
+                x, y = ring[k]
+                off = (x - x0) ** 2 + (y - y0) ** 2
+                if off > best:
+                    far, best = k, off
+            over = best > eps * eps
+        if over:
+            keep.add(far % n)
+            stack.append((i, far))
+            stack.append((far, j))
+    return [points[k] for k in sorted(keep)]
+
+
+def row_ring(y: list[int], a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Outer border of a region with one run per row, corner pixels only, clockwise from the top left."""
+    ring = [(a[0], y[0]), (b[0], y[0])]
+    for i in range(1, len(y)):
+        p, q = b[i - 1], b[i]
+        if q > p + 1:
+            ring.append((p + 1, y[i]))
+        elif q < p - 1:
+            ring.append((q + 1, y[i - 1]))
+        ring.append((q, y[i]))
+    ring.append((a[-1], y[-1]))
+    for i in range(len(y) - 1, 0, -1):
+        p, q = a[i], a[i - 1]
+        if q < p - 1:
+            ring.append((p - 1, y[i - 1]))
+        elif q > p + 1:
+            ring.append((q - 1, y[i]))
+        ring.append((q, y[i - 1]))
+    return [pt for k, pt in enumerate(ring) if pt != ring[k - 1]] or ring[:1]
+
+
+def region_ring(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[int, int]], bool]:
+    """Outer border of one region given by sorted runs, and whether it may enclose a hole."""
+    rows = y.tolist()
+    if rows[-1] - rows[0] + 1 == len(rows):
+        return row_ring(rows, a.tolist(), b.tolist()), False
+    mask, left, top = spans_to_mask(y, a, b)
+    ring = (trace_border(mask) + (left - 1, top - 1)).tolist()
+    return [tuple(p) for p in ring], has_hole(y, a, b)
+
+
+def ring_area(points: list[tuple[int, int]]) -> float:
+    return abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(points, points[1:] + points[:1]))) / 2
 
 
 def run_links(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +274,7 @@ def point_inside(x: float, y: float, px: np.ndarray, py: np.ndarray) -> bool:
     return bool(((px + (y - py) * (qx - px) / (qy - py)) > x).sum() % 2)
 
 
-def largest_region_polygon(mask: np.ndarray, eps: float, min_area: float) -> np.ndarray | None:
+def largest_region_polygon(mask: np.ndarray, eps: float, min_area: float) -> list[tuple[int, int]] | None:
     """Simplified outline of the region with the largest outline area, or None."""
     from boardlens.operators.components import smallest_reachable
 
@@ -203,8 +287,7 @@ def largest_region_polygon(mask: np.ndarray, eps: float, min_area: float) -> np.
     best, best_area = None, -1.0
     for comp in np.unique(label):
         own = label == comp
-        region, left, top = spans_to_mask(y[own], a[own], b[own])
-        ring = trace_border(region) + (left - 1, top - 1)
+        ring, _ = region_ring(y[own], a[own], b[own])
         area = ring_area(ring)
         if area > best_area:
             best, best_area = ring, area

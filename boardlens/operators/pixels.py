@@ -204,17 +204,9 @@ def board_mosaic(frames: DataFrame, boards: DataFrame, stride: int = STRIDE_PX)
 
 
 def _brush_fn(width: int):
-    lo, hi = (width - 1) // 2, width // 2
-
     @F.pandas_udf(raster.INTS)
     def fn(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(xs, ys):
-            py, pa, pb = outline.ring_spans(x, y)
-            grown = [(py + dy, pa - lo, pb + hi) for dy in range(-lo, hi + 1)]
-            merged = outline._merge(*(np.concatenate(c) for c in zip(*grown)))
-            out.append(np.column_stack(merged).ravel().astype(np.int32))
-        return pd.Series(out)
+        return pd.Series(outline.brushed_outlines(list(xs), list(ys), width))
 
     return fn
 

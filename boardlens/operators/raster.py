@@ -30,7 +30,7 @@ def vertex_arrays(polygon: Column | str) -> tuple[Column, Column]:
 
 @F.pandas_udf(INTS)
 def _scan_lines(xs: pd.Series, ys: pd.Series) -> pd.Series:
-    return pd.Series([np.column_stack(outline.polygon_spans(x, y)).ravel().astype(np.int32) for x, y in zip(xs, ys)])
+    return pd.Series(outline.filled_spans(list(xs), list(ys)))
 
 
 def _triples(flat: Column) -> Column:
@@ -164,12 +164,9 @@ def _outline_fn(eps: float):
     def fn(ys: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
         polygons, rings = [], []
         for y, a, b in zip(ys, starts, ends):
-            y, a, b = (np.asarray(v, dtype=np.int64) for v in (y, a, b))
-            my, ma, mb = outline._merge(y, a, b)
-            mask, left, top = outline.spans_to_mask(my, ma, mb)
-            border = outline.trace_border(mask) + (left - 1, top - 1)
-            polygons.append(outline.simplify_closed(border, eps).ravel().astype(np.int32))
-            rings.append(border.ravel().astype(np.int32) if outline.has_hole(my, ma, mb) else np.empty(0, np.int32))
+            ring, hollow = outline.region_ring(*outline.merge_rows(y, a, b))
+            polygons.append([v for point in outline.simplify_closed(ring, eps) for v in point])
+            rings.append([v for point in ring for v in point] if hollow else [])
         return pd.DataFrame({"polygon": polygons, "ring": rings})
 
     return fn
@@ -236,7 +233,7 @@ def _mask_polygon_fn(eps: float, min_area: float):
         for raw, width, height in zip(bits, w, h):
             mask = np.frombuffer(raw, dtype=np.uint8).reshape(height, width) > 0
             ring = outline.largest_region_polygon(mask, eps, min_area)
-            out.append(None if ring is None else ring.ravel().astype(np.int32))
+            out.append(None if ring is None else [v for point in ring for v in point])
         return pd.Series(out)
 
     return fn
@@ -250,7 +247,7 @@ def mask_polygon(mask: Column, w: Column, h: Column, eps: float = 1.0, min_area:
 
 @F.pandas_udf(T.FloatType())
 def _mask_iou(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
-    return pd.Series([outline.mask_iou(*row) for row in zip(ax, ay, bx, by)], dtype="float32")
+    return pd.Series(outline.mask_ious(list(ax), list(ay), list(bx), list(by)))
 
 
 def mask_iou(a: Column | str, b: Column | str) -> Column:

@@ -100,7 +100,7 @@ def decode(
         ring = outline.largest_region_polygon(clean, eps, MIN_AREA)
         if ring is None:
             continue
-        back = (ring - (px, py)).astype(np.float32) / scale
+        back = (np.array(ring) - (px, py)).astype(np.float32) / scale
         xs = np.clip(_half_away(back[:, 0]), 0, w - 1).astype(int)
         ys = np.clip(_half_away(back[:, 1]), 0, h - 1).astype(int)
         corner = ((row[0:4] - np.float32([px, py, px, py])) / scale).astype(float)
@@ -231,7 +231,7 @@ def pseudo_label(frames: DataFrame, boxes: DataFrame, mask_fn: MaskFn, eps: floa
                     part = np.s_[max(0, y1) : min(h, y2), max(0, x1) : min(w, x2)]
                     mask[part] = mask_fn(image, (x1, y1, x2, y2), ((x1 + x2) // 2, (y1 + y2) // 2))[part]
                     ring = outline.largest_region_polygon(mask, eps, min_area)
-                    shape = [(x1, y1), (x2, y1), (x2, y2), (x1, y2)] if ring is None else ring.tolist()
+                    shape = [(x1, y1), (x2, y1), (x2, y2), (x1, y2)] if ring is None else ring
                     polygon = [{"x": int(x), "y": int(y)} for x, y in shape]
                     rows.append((board, frame, b["line_no"], b["cls"], w, h, polygon, ring is None))
             yield pd.DataFrame(rows, columns=["board", "frame", "line_no", "cls", "img_w", "img_h", "polygon", "fallback"])

@@ -20,7 +20,7 @@ FRAME = ["board", "frame"]
 
 def whole(a: Column, b: int) -> Column:
     """Integer quotient of non-negative integers."""
-    return ((a - a % b) / b).cast("bigint")
+    return F.floor(a / F.lit(b)).cast("bigint")
 
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:

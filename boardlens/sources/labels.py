@@ -25,7 +25,9 @@ from boardlens.functions.geometry import (
 from boardlens.sources.frames import keyed_by_stem
 
 FRAME = ["board", "frame"]
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_BOX_LINE = rf"^\s*\S+(?:\s+{_NUMBER}){{4}}(?:\s|$)"
+_SEG_LINE = rf"^\s*\S+(?:\s+{_NUMBER})+\s*$"
 
 
 class Labels(NamedTuple):
@@ -66,10 +68,6 @@ def _numbers(kind: str) -> list[Column]:
     return [F.get("_t", F.lit(i)).try_cast(kind) for i in range(1, 5)]
 
 
-def _numeric(first: int, last: int) -> Column:
-    return F.forall(F.slice("_t", first + 1, last - first + 1), lambda v: v.rlike(_NUMBER))
-
-
 def _result(read: DataFrame, reason: Column, box: Box, keep_empty: bool, cls: Column) -> Labels:
     base = [*FRAME, "line_no"]
     tagged = read.withColumn("reason", reason)
@@ -89,13 +87,13 @@ def _class() -> Column:
 
 
 def labels_float(lines: DataFrame, dims: DataFrame) -> Labels:
-    reason = F.when(F.size("_t") < 5, "few_tokens").when(~_numeric(1, 4), "not_numeric")
+    reason = F.when(F.size("_t") < 5, "few_tokens").when(~F.col("line").rlike(_BOX_LINE), "not_numeric")
     box = yolo_corners(*_numbers("double"), F.col("img_w"), F.col("img_h"))
     return _result(_read(lines, dims), reason, box, True, _class())
 
 
 def labels_int(lines: DataFrame, dims: DataFrame) -> Labels:
-    reason = F.when(F.size("_t") < 5, "few_tokens").when(~_numeric(1, 4), "not_numeric")
+    reason = F.when(F.size("_t") < 5, "few_tokens").when(~F.col("line").rlike(_BOX_LINE), "not_numeric")
     w, h = F.col("img_w"), F.col("img_h")
     corners = yolo_corners(*_numbers("double"), w, h)
     box = clip_box(tuple(round_half_even(c) for c in corners), w, h)
@@ -105,7 +103,7 @@ def labels_int(lines: DataFrame, dims: DataFrame) -> Labels:
 def labels_strict(lines: DataFrame, dims: DataFrame) -> Labels:
     reason = (
         F.when(F.size("_t") < 5, "few_tokens")
-        .when(~_numeric(1, 4) | _class().isNull(), "not_numeric")
+        .when(~F.col("line").rlike(_BOX_LINE) | _class().isNull(), "not_numeric")
         .when(F.size("_t") > 5, "extra_tokens")
     )
     w, h = F.col("img_w"), F.col("img_h")
@@ -123,7 +121,7 @@ def labels_seg(lines: DataFrame, dims: DataFrame) -> Labels:
     reason = (
         F.when(n < 7, "few_tokens")
         .when((n - 1) % 2 != 0, "odd_coordinates")
-        .when(~F.forall(F.slice("_t", F.lit(2), F.greatest(n - 1, F.lit(0))), lambda v: v.rlike(_NUMBER)), "not_numeric")
+        .when(~F.col("line").rlike(_SEG_LINE), "not_numeric")
     )
     at = lambda i: F.get("_t", i.cast("int")).try_cast("double")
     pairs = F.sequence(F.lit(0), F.greatest(F.floor((n - 1) / 2).cast("int") - 1, F.lit(0)))
