@@ -229,7 +229,7 @@ def row_ring(y: list[int], a: list[int], b: list[int]) -> list[tuple[int, int]]:
         elif q > p + 1:
             ring.append((q - 1, y[i]))
         ring.append((q, y[i - 1]))
-    return [pt for k, pt in enumerate(ring) if pt != ring[k - 1]] or ring[:1]
+    return ring[:1] + [pt for pt, prev in zip(ring[1:], ring) if pt not in (prev, ring[0])]
 
 
 def region_ring(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[int, int]], bool]:

@@ -27,6 +27,7 @@ from boardlens.functions.geometry import (
     shift_polygon,
 )
 from boardlens.operators import outline, raster
+from boardlens.operators.pairs import BOX
 from boardlens.operators.stats import cluster_count, edge_touch_counts, to_board_boxes
 
 FRAME = ["board", "frame"]
@@ -62,7 +63,7 @@ def _paint(mask: np.ndarray, ys, starts, ends, x0: int = 0) -> None:
 
 def box_runs(boxes: DataFrame, dims: DataFrame) -> DataFrame:
     """Pixels under the boxes of a frame as merged runs in one row: board, frame, ys, starts, ends."""
-    sized = boxes.join(dims.select(*FRAME, "img_w", "img_h"), FRAME)
+    sized = boxes.select(*FRAME, *BOX).join(dims.select(*FRAME, "img_w", "img_h"), FRAME)
     whole = sized.select(
         *FRAME,
         F.greatest(F.floor("x1"), F.lit(0)).cast("int").alias("x1"),
@@ -124,6 +125,7 @@ def inspect_frames(
 ) -> DataFrame:
     """One row per frame: size, strip margins, dark share, annotations, clusters, edge touches."""
     dims = frames.select(*FRAME, "img_w", "img_h")
+    boxes = boxes.select(*FRAME, id_col, *BOX)
     sized = boxes.join(dims, FRAME)
     edges = edge_touch_counts(sized, edge_tol)
     clusters = cluster_count(boxes.join(dims.select(*FRAME), FRAME, "left_semi"), FRAME, near_gap_min_px, near_gap_rel, id_col)

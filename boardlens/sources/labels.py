@@ -36,9 +36,14 @@ class Labels(NamedTuple):
 
 
 def scan_label_files(spark: SparkSession, labels_dir: str) -> DataFrame:
-    """One row per ``<board>_<frame>.txt``: board, frame, text, annots (non-blank lines)."""
-    files = spark.read.option("pathGlobFilter", "*.txt").text(labels_dir, wholetext=True)
-    keyed = keyed_by_stem(files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+    """One row per ``<board>_<frame>.txt``: board, frame, text, annots (non-blank lines).
+
+    The file sources of Spark SQL leave out empty files, which do count here, so the files come
+    in through ``wholeTextFiles``.
+    """
+    context = spark.sparkContext
+    files = context.wholeTextFiles(f"{labels_dir.rstrip('/')}/*.txt", minPartitions=4 * context.defaultParallelism)
+    keyed = keyed_by_stem(spark.createDataFrame(files, "path string, text string"))
     lines = F.filter(F.split("text", "\r?\n"), lambda v: F.trim(v) != "")
     return keyed.select(*FRAME, "text", F.size(lines).cast("bigint").alias("annots"))
 
