@@ -93,6 +93,7 @@ def join_chunks(runs: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFr
 
     A run that crosses borders is a chain of pieces; only pieces that touch a border take part.
     """
+    runs = cut(runs)
     at_start, at_end = F.col("xs") % chunk == 0, F.col("xe") % chunk == chunk - 1
     inner = runs.filter(~at_start & ~at_end).select(*on, "y", "xs", "xe")
     nodes = runs.filter(at_start | at_end).select(*on, "y", F.col("xs").cast("bigint").alias("xs"), "xe")

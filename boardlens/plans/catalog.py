@@ -290,8 +290,7 @@ def mask_iou_rects(spark: SparkSession, d: str) -> DataFrame:
 
 def _clipped_spans(spark: SparkSession, d: str) -> DataFrame:
     canvas = stats.board_canvas(D.frames(spark, d))
-    moved = stats.to_board_boxes(_kept(spark, d)).select("board", *pairs.BOX).distinct()
-    return stitching._clip_to_canvas(raster.rasterize_boxes(moved), canvas)
+    return stitching.clipped_box_spans(_kept(spark, d), canvas)
 
 
 def merge_spans(spark: SparkSession, d: str) -> DataFrame:
@@ -310,7 +309,7 @@ def union_components(spark: SparkSession, d: str) -> DataFrame:
 def stitch_gt(spark: SparkSession, d: str) -> DataFrame:
     """Merged ground-truth polygons from the strict label parser."""
     parsed = labels_strict(spark, d).withColumnRenamed("line_no", "ann_id")
-    return stitching.stitch_gt(parsed, D.frames(spark, d)).polygons.withColumn("vertices", F.size("polygon")).drop("polygon")
+    return stitching.stitch_gt(parsed, D.frames(spark, d)).polygons.drop("polygon")
 
 
 def stitch_boards(spark: SparkSession, d: str) -> DataFrame:

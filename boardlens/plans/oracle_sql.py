@@ -422,6 +422,15 @@ def statements() -> dict[str, str]:
                      ON c.board = m.board AND m.y BETWEEN c.y1 AND c.y2 AND c.x1 BETWEEN m.xs AND m.xe) s GROUP BY s.board, s.comp""",
             _REGIONS, _ROWS, _components("rects_ok", "uc"), recursive=True,
         ),
+        "stitch_gt": _q(
+            """SELECT s.board, s.comp AS poly_id, CAST(sum(s.xe - s.xs + 1) AS BIGINT) AS area, min(s.xs) AS x1, min(s.y) AS y1, max(s.xe) AS x2, max(s.y) AS y2
+               FROM (SELECT DISTINCT m.board, m.y, m.xs, m.xe, c.comp FROM merged m JOIN uc c
+                     ON c.board = m.board AND m.y BETWEEN c.y1 AND c.y2 AND c.x1 BETWEEN m.xs AND m.xe) s GROUP BY s.board, s.comp
+               HAVING min(s.xs) < max(s.xe) AND min(s.y) < max(s.y)""",
+            _STRICT, _REGIONS.replace("FROM dets JOIN canvas USING (board) WHERE conf >= 0.25", "FROM strict_ok JOIN canvas USING (board)"),
+            _ROWS, _components("rects_ok", "uc"), recursive=True,
+        ),
+        "labels_seg": _q("SELECT board, frame, det_id, 8 AS vertices, x1, y1, x2, y2 FROM dets"),
         "mask_iou_rects": _q(
             """SELECT d.board, d.frame, d.det_id, CAST(i / CAST(da + ga - i AS DOUBLE) AS FLOAT) AS mask_iou FROM (
                SELECT d.board, d.frame, d.det_id,
