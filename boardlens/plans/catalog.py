@@ -313,8 +313,8 @@ def stitch_gt(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stitch_boards(spark: SparkSession, d: str) -> DataFrame:
-    """Merged prediction polygons from octagonal outlines."""
-    polys = D.detection_polygons(spark, d).filter("conf >= 0.25")
+    """Merged prediction polygons from octagonal outlines of the frames that have an image."""
+    polys = joins.keep_frames(D.detection_polygons(spark, d).filter("conf >= 0.25"), D.frames(spark, d))
     merged = stitching.stitch_boards(polys, D.frames(spark, d)).polygons
     return merged.withColumn("vertices", F.size("polygon")).drop("polygon")
 
