@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlens.llm import html_extract, packing, quality, rules, textstats
+from boardlens.llm import chat, decontam, html_extract, langid, lmscore, packing, quality, rules, simhash, textstats, token_files
 from boardlens.llm.common import held_out, read_table
-from boardlens.operators.lineage import cut
+from boardlens.operators.lineage import checkpoint_folder, cut
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -47,8 +48,53 @@ def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op5_token_files(spark: SparkSession, d: str) -> DataFrame:
+    path = f"{checkpoint_folder(spark)}/boardlens-{uuid.uuid4().hex}"
+    token_files.write_token_files(read_table(spark, d, "documents"), path, tokenizer_path(), end_id=1)
+    return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+
+
+def op7_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").cast("int").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = read_table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    read = chat.read_turns(cut(chat.format_conversations(turns)))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
+    documents = read_table(spark, d, "documents")
+    predict = langid.predict_udf(langid.fit_languages(documents))
+    return documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predict("text").alias("_p")).select("doc_id", "held_out", "_p.lang_pred", "_p.score")
+
+
+def op9_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    """The target are the documents that ``labels`` marks as good, the background is every document."""
+    documents = read_table(spark, d, "documents").select("doc_id", "text")
+    good = read_table(spark, d, "labels").filter("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
+    model = lmscore.fit_difference(documents.join(good, "doc_id", "left"), "good")
+    return documents.select("doc_id", lmscore.score_udf(spark, model)("text").alias("_s")).select("doc_id", "_s.*")
+
+
+def op10_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_html_extraction, op2_quality_classifier, op3_packing, op4_quality_rules]
+    listed = [
+        op1_html_extraction, op2_quality_classifier, op3_packing, op4_quality_rules, op5_token_files, op6_decontamination,
+        op7_chat_formatting, op8_language_id, op9_lm_scoring, op10_simhash_near_dedup,
+    ]
     return {q.__name__: q for q in listed}
 
 
