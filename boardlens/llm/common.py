@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASCII_SPACE = b" \t\n\v\f\r"
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 SUM_GROUPS = 64  # rows that reach the driver when partition sums are added up
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the folder, with the session's Arrow batches kept small: texts may be long, and a worker holds a few copies of a batch."""
+    for setting, value in BATCH.items():
+        spark.conf.set(setting, value)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -14,7 +14,7 @@ SEED_WORDS = 4  # words of a seed and the least length of a tile
 COVERAGE = 0.5  # covered share of an item's words that marks a document
 FILTER_BITS = 24  # of the bitmap that drops seeds no item has, before the shuffle
 BROADCAST_SEEDS = 500_000  # item seeds up to here travel to the executors (about 20 MB), more are joined by a shuffle
-MEMO_WORDS = 1_000_000  # words whose hashes a Python worker remembers; a speed setting only
+MEMO_WORDS = 200_000  # words whose hashes a Python worker remembers; a speed setting only
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 

@@ -18,7 +18,7 @@ PAIR_BITS = 22  # word-pair slots
 MIN_COUNT = 2  # occurrences in the corpus that put a word into the vocabulary
 SHARE = 0.7  # weight of the pair estimate
 SMOOTHING = 0.1
-MEMO_WORDS = 1_000_000  # words whose slots a Python worker remembers; a speed setting only
+MEMO_WORDS = 200_000  # words whose slots a Python worker remembers; a speed setting only
 WORDS_AT_ONCE = 1 << 20
 _START = 0  # the slot before the first word
 _PAIR = np.uint64(0x9E3779B97F4A7C15)

@@ -10,7 +10,7 @@ from collections.abc import Iterable
 
 import regex
 
-MEMO_WORDS = 1_000_000  # words whose ids a Python worker remembers; a speed setting only
+MEMO_WORDS = 200_000  # words whose ids a Python worker remembers; a speed setting only
 _LATIN = regex.compile(r"[\x21-ɏ]*")  # characters on which every Unicode version agrees
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # the file's own pattern, a fixed value
 
