@@ -31,7 +31,7 @@ from boardlens.operators.pairs import BOX
 from boardlens.operators.stats import cluster_count, edge_touch_counts, to_board_boxes
 
 FRAME = ["board", "frame"]
-IMAGE_LIMIT_PX = 65_535  # widest picture the JPEG format allows
+TILES_PER_IMAGE = 64
 
 
 def bgr_array(raw: bytes, h: int, w: int, channels: int) -> np.ndarray:
@@ -77,35 +77,37 @@ def box_runs(boxes: DataFrame, dims: DataFrame) -> DataFrame:
     return packed.select(*FRAME, part("y", "ys"), part("xs", "starts"), part("xe", "ends"))
 
 
-def _inspect_fn(bg_max: int, row_frac: float, dark_max: int, min_chroma: int):
-    result = T.StructType(
-        [T.StructField("top", T.IntegerType()), T.StructField("bot", T.IntegerType()), T.StructField("dark", T.DoubleType())]
-    )
-
-    @F.pandas_udf(result)
-    def fn(
-        pixels: pd.Series, w: pd.Series, h: pd.Series, ch: pd.Series, ys: pd.Series, starts: pd.Series, ends: pd.Series
-    ) -> pd.DataFrame:
-        out = []
-        for raw, width, height, channels, y, a, b in zip(pixels, w, h, ch, ys, starts, ends):
-            image = bgr_array(raw, height, width, channels).astype(np.int32)
-            lum = (image[:, :, 2] * LUMA_R + image[:, :, 1] * LUMA_G + image[:, :, 0] * LUMA_B + LUMA_HALF) >> 16
-            rows = np.flatnonzero((lum > bg_max).mean(axis=1) >= row_frac)
-            if len(rows) == 0:
-                out.append((-1, -1, 0.0))
-                continue
-            look = np.zeros((height, width), dtype=bool)
-            look[rows[0] : rows[-1] + 1] = True
-            covered = np.zeros_like(look)
-            _paint(covered, y, a, b)
-            look &= ~covered
-            spread = image.max(axis=2) - image.min(axis=2)
-            dark = look & (lum > bg_max) & (lum <= dark_max) & (spread >= min_chroma)
-            n = int(look.sum())
-            out.append((int(rows[0]), int(height - 1 - rows[-1]), int(dark.sum()) / n if n else 0.0))
-        return pd.DataFrame(out, columns=["top", "bot", "dark"])
+def strip_report(image: np.ndarray, runs: tuple, bg_max: int, row_frac: float, dark_max: int, min_chroma: int) -> tuple[int, int, float]:
+    """Rows above and below the strip of lit rows (-1 without one) and the dark share of its pixels outside the runs (y, start, end).
 
-    return fn
+    The runs are disjoint, so what lies under them is taken off the totals by running sums instead of a mask.
+    """
+    height, width = image.shape[:2]
+    blue, green, red = (image[:, :, k].astype(np.int32) for k in range(3))
+    luma = (LUMA_R * red + LUMA_G * green + LUMA_B * blue + LUMA_HALF) >> 16
+    lit = np.count_nonzero(luma > bg_max, axis=1) / width >= row_frac
+    if not lit.any():
+        return -1, -1, 0.0
+    top, bottom = int(lit.argmax()), int(lit[::-1].argmax())
+    chroma = np.ptp(image, axis=2)
+    dark = (luma > bg_max) & (luma <= dark_max) & (chroma >= min_chroma)
+    upto = np.zeros((height, width + 1), np.int64)
+    np.cumsum(dark, axis=1, out=upto[:, 1:])
+    y, start, end = (np.asarray(v, np.int64) for v in runs)
+    inside = (y >= top) & (y < height - bottom)
+    y, start, end = y[inside], start[inside], end[inside] + 1
+    pixels = (height - top - bottom) * width - int((end - start).sum())
+    left = int(upto[top : height - bottom, -1].sum() - (upto[y, end] - upto[y, start]).sum())
+    return top, bottom, left / pixels if pixels else 0.0
+
+
+def _report_udf(*limits: float):
+    @F.pandas_udf("top int, bot int, dark double")
+    def report(raw: pd.Series, w: pd.Series, h: pd.Series, channels: pd.Series, y: pd.Series, start: pd.Series, end: pd.Series) -> pd.DataFrame:
+        frames = zip(raw, h, w, channels, zip(y, start, end, strict=True), strict=True)
+        return pd.DataFrame([strip_report(bgr_array(*f[:4]), f[4], *limits) for f in frames], columns=["top", "bot", "dark"])
+
+    return report
 
 
 def inspect_pixels(
@@ -115,7 +117,7 @@ def inspect_pixels(
     none = F.array().cast("array<int>")
     joined = frames.join(box_runs(boxes, frames), FRAME, "left")
     runs = [F.coalesce(c, none) for c in ("ys", "starts", "ends")]
-    found = _inspect_fn(bg_max, row_frac, dark_max, min_chroma)("pixels", "img_w", "img_h", "channels", *runs)
+    found = _report_udf(bg_max, row_frac, dark_max, min_chroma)("pixels", "img_w", "img_h", "channels", *runs)
     return joined.select(*FRAME, "img_w", "img_h", found.alias("_f")).select(*FRAME, "img_w", "img_h", "_f.*")
 
 
@@ -272,15 +274,17 @@ def tile_images(tiles: DataFrame) -> DataFrame:
     return tiles.select("board", "slot", _png("bgr", "width", "height").alias("png"))
 
 
-def board_images(tiles: DataFrame, boards: DataFrame) -> DataFrame:
-    """One PNG per board that fits a picture (IMAGE_LIMIT_PX columns); wider boards stay tiles."""
-    fits = boards.filter(F.col("board_width") <= IMAGE_LIMIT_PX).select("board", "board_width", "board_height")
-    pieces = tiles.join(fits, "board").select(
-        "board", "board_width", "board_height", F.col("x0").alias("_at"), F.col("width").alias("pw"), F.col("height").alias("ph"),
-        F.col("bgr").alias("piece"),
+def board_images(tiles: DataFrame, boards: DataFrame, tiles_per_image: int = TILES_PER_IMAGE) -> DataFrame:
+    """board, part, x0, width, height, png: every board as images of ``tiles_per_image`` tiles, so an image's size is bounded whatever the board's."""
+    part = F.floor(F.col("slot") / tiles_per_image).cast("int").alias("part")
+    spans = tiles.groupBy("board", part).agg(F.min("x0").alias("from"), F.max(F.col("x0") + F.col("width")).alias("to"))
+    sized = spans.join(boards.select("board", "board_height"), "board")
+    pieces = tiles.withColumn("part", part).join(sized, ["board", "part"]).select(
+        "board", "part", "from", (F.col("to") - F.col("from")).alias("image_width"), "board_height", (F.col("x0") - F.col("from")).alias("_at"),
+        F.col("width").alias("pw"), F.col("height").alias("ph"), F.col("bgr").alias("piece"),
     )
-    whole = _stack(pieces, ["board"], F.col("board_width"), F.col("board_height"), "_at")
-    return whole.select("board", "width", "height", _png("bgr", "width", "height").alias("png"))
+    whole = _stack(pieces, ["board", "part", "from"], F.col("image_width"), F.col("board_height"), "_at")
+    return whole.select("board", "part", F.col("from").alias("x0"), "width", "height", _png("bgr", "width", "height").alias("png"))
 
 
 def collect_overlays(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from boardlens.functions import geometry as G
 from boardlens.functions.sqlfuncs import register_sql
-from boardlens.operators import evaluation, joins, matching, pairs, pixels, raster, scoring, splitting, stats, stitching
+from boardlens.operators import evaluation, joins, matching, pairs, pixels, raster, splitting, stats, stitching
 from boardlens.operators.lineage import checkpoint_folder
 from boardlens.plans import derived as D
 from boardlens.sources import labels, writers
@@ -210,10 +210,6 @@ def stratified_split(spark: SparkSession, d: str) -> DataFrame:
     return _split(spark, d)[0]
 
 
-def stratified_split_compat(spark: SparkSession, d: str) -> DataFrame:
-    return splitting.stratified_split(board_features(spark, d), seed=SEED, forced=FORCED, mode="compat")[0]
-
-
 def largest_remainder(spark: SparkSession, d: str) -> DataFrame:
     return _split(spark, d)[1]
 
@@ -407,24 +403,6 @@ def board_mosaic(spark: SparkSession, d: str) -> DataFrame:
     return drawn.select("board", "slot", "x0", "width", "height", F.md5("bgr").alias("bgr_md5"))
 
 
-def decode_masks(spark: SparkSession, d: str) -> DataFrame:
-    found = scoring.decode_masks(D.tensors(spark, d), net=4 * D.PROTO_SIDE, proto=D.PROTO_SIDE)
-    return found.select(*FRAME, "det_id", "confidence", "cls", F.size("polygon").alias("vertices"), "bbox.*")
-
-
-def _bright_region(image, box, centre):
-    return image[:, :, 2] > 90
-
-
-def pseudo_label(spark: SparkSession, d: str) -> DataFrame:
-    """Outlines of the bright pixels inside every box of the thumbnails."""
-    whole = {c: (f(F.col(c))).cast("int") for c, f in zip(pairs.BOX, (F.floor, F.floor, F.ceil, F.ceil))}
-    boxes = D.thumbnail_boxes(spark, d).withColumns(whole).withColumnsRenamed({"ann_id": "line_no"}).withColumn("cls", F.lit(0))
-    out = scoring.pseudo_label(D.thumbnails(spark, d), boxes, _bright_region)
-    line = G.seg_text("polygon", F.col("img_w"), F.col("img_h"), F.col("cls"))
-    return out.select(*FRAME, "line_no", "fallback", line.alias("line"))
-
-
 def refreshed_boards(spark: SparkSession, d: str) -> DataFrame:
     """Boards merged by the streaming job after two deliveries of frames."""
     root = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -448,11 +426,10 @@ def queries() -> dict[str, Query]:
         frame_keys, labels_float, labels_int, labels_strict, label_rejects, seg_label_text, labels_seg, polygon_metrics,
         letterbox_roundtrip, has_cluster, near_pairs, cluster_count, board_stats, dataset_totals, topk_boards, frame_gaps,
         board_canvas, mosaic_canvas, edge_touch, annotation_histogram, tier_labels, distinct_instances, cross_frame_dups,
-        pseudo_label_quality, stratified_split, stratified_split_compat, largest_remainder, split_totals, split_reasons,
+        pseudo_label_quality, stratified_split, largest_remainder, split_totals, split_reasons,
         split_leaks, partitions_document, staging_join, staging_summary, iou_pairs, match_candidates, greedy_match,
         match_scores, board_set_ops, resume_antijoin, mask_iou_rects, merge_spans, union_area, union_components, stitch_gt,
         stitch_boards, board_documents, eval_boards, eval_aggregate, average_precision, detection_summary,
-        average_precision_masks, inspect_frames, mosaic_ownership, overlay_layers, board_mosaic, decode_masks, pseudo_label,
-        refreshed_boards,
+        average_precision_masks, inspect_frames, mosaic_ownership, overlay_layers, board_mosaic, refreshed_boards,
     ]
     return {**{q.__name__: q for q in listed}, "board_features": board_features_rounded}

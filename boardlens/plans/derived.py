@@ -184,27 +184,3 @@ def thumbnail_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The annotation boxes at thumbnail scale."""
     scaled = {c: F.col(c).cast("double") / THUMB_SCALE for c in ("x1", "y1", "x2", "y2")}
     return boxes(spark, sf_dir).withColumns(scaled)
-
-
-PROTO_SIDE = 8  # prototypes of the derived tensors; their network size is four times that
-
-
-@F.pandas_udf(T.BinaryType())
-def _prototypes(board: pd.Series, frame: pd.Series) -> pd.Series:
-    n = 32 * PROTO_SIDE * PROTO_SIDE
-    base = np.arange(n, dtype=np.int64)
-    return pd.Series(
-        [(((base * 31 + b * 7 + f * 13) % 17 - 8).astype(np.float32) / 8).tobytes() for b, f in zip(board.astype(int), frame.astype(int))]
-    )
-
-
-def tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model outputs per frame: its detections as rows of 38 numbers and mask prototypes."""
-    coefs = [((F.col("det_id") * (k + 3) % 11) - 5).cast("float") for k in range(32)]
-    grow = {"x1": -4.0, "y1": 6.0, "x2": 4.0, "y2": 14.0}  # a margin, and the letterbox pad of 10 rows
-    corner = [(F.col(c).cast("double") / THUMB_SCALE + by).cast("float") for c, by in grow.items()]
-    row = F.array(*corner, F.col("conf").cast("float"), F.col("cls").cast("float"), *coefs)
-    per_frame = detections(spark, sf_dir).groupBy(*FRAME).agg(F.array_sort(F.collect_list(row)).alias("dets"))
-    return per_frame.select(
-        *FRAME, F.lit(THUMB_W).alias("img_w"), F.lit(THUMB_H).alias("img_h"), "dets", _prototypes("board", "frame").alias("protos")
-    )

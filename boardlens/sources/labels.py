@@ -44,14 +44,14 @@ def scan_label_files(spark: SparkSession, labels_dir: str) -> DataFrame:
     context = spark.sparkContext
     files = context.wholeTextFiles(f"{labels_dir.rstrip('/')}/*.txt", minPartitions=4 * context.defaultParallelism)
     keyed = keyed_by_stem(spark.createDataFrame(files, "path string, text string"))
-    lines = F.filter(F.split("text", "\r?\n"), lambda v: F.trim(v) != "")
+    lines = F.filter(F.split("text", "\r?\n"), lambda v: v.rlike(r"\S"))
     return keyed.select(*FRAME, "text", F.size(lines).cast("bigint").alias("annots"))
 
 
 def label_lines(files: DataFrame) -> DataFrame:
     """board, frame, line_no (0-based position in the file), line; blank lines are left out."""
     numbered = files.select(*FRAME, F.posexplode(F.split("text", "\r?\n")).alias("line_no", "line"))
-    return numbered.filter(F.trim("line") != "")
+    return numbered.filter(F.col("line").rlike(r"\S"))
 
 
 def scan_label_lines(spark: SparkSession, labels_dir: str) -> DataFrame:

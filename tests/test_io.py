@@ -223,77 +223,24 @@ def test_mosaic_and_overlay(spark):
     assert image.png == pixels.encode_png(want) and pixels.tile_images(drawn).count() == 4
 
 
-# -- model scoring ---------------------------------------------------------------------------
+def test_job_counters(spark):
+    rows = spark.createDataFrame([("processed", 1.5), ("processed", 0.5), ("failed", 0.0), ("unread", 0.0)], "status string, seconds double")
+    assert scoring.job_counters(rows).first().asDict() == {"processed": 2, "unread": 1, "failed": 1, "inference_sec": 2.0}
 
 
-def _field(n, kind, body):
-    key = bytes([n << 3 | kind])
-    return key + (body if kind == 0 else _varint(len(body)) + body)
+def test_blank_label_lines(spark, tmp_path):
+    (tmp_path / "1_0.txt").write_text("0 0.5 0.5 0.1 0.1\n\t\n \t \n")
+    assert labels.scan_label_files(spark, str(tmp_path)).first().annots == 1 and labels.scan_label_lines(spark, str(tmp_path)).count() == 1
 
 
-def _varint(n):
-    out = b""
-    while True:
-        n, low = n >> 7, n & 127
-        out += bytes([low | (128 if n else 0)])
-        if not n:
-            return out
-
-
-def constant_model(dets, protos):
-    """ONNX bytes of a graph that ignores its input and returns two constants."""
-
-    def tensor(name, a):
-        dims = b"".join(_field(1, 0, _varint(d)) for d in a.shape)
-        return dims + _field(2, 0, _varint(1)) + _field(8, 2, name) + _field(9, 2, a.astype("<f4").tobytes())
-
-    def value(name, shape):
-        dims = b"".join(_field(1, 2, _field(1, 0, _varint(d))) for d in shape)
-        kind = _field(1, 2, _field(1, 0, _varint(1)) + _field(2, 2, dims))
-        return _field(1, 2, name) + _field(2, 2, kind)
-
-    def node(src, dst):
-        return _field(1, 2, src) + _field(2, 2, dst) + _field(4, 2, b"Identity")
-
-    graph = (
-        _field(1, 2, node(b"c0", b"out0")) + _field(1, 2, node(b"c1", b"out1")) + _field(2, 2, b"g")
-        + _field(5, 2, tensor(b"c0", dets)) + _field(5, 2, tensor(b"c1", protos)) + _field(11, 2, value(b"in", (1, 3, 640, 640)))
-        + _field(12, 2, value(b"out0", dets.shape)) + _field(12, 2, value(b"out1", protos.shape))
-    )
-    return _field(1, 0, _varint(8)) + _field(7, 2, graph) + _field(8, 2, _field(1, 2, b"") + _field(2, 0, _varint(13)))
-
-
-def blob_tensors():
-    """One confident detection whose mask is a block of prototype cells, one below the threshold."""
-    protos = np.full((1, 32, 160, 160), -1, dtype=np.float32)
-    protos[0, :, 40:60, 80:100] = 1
-    dets = np.zeros((1, 2, 38), dtype=np.float32)
-    dets[0, :, :6] = [[300, 150, 420, 250, 0.9, 0], [300, 150, 420, 250, 0.1, 0]]
-    dets[0, :, 6:] = 1
-    return dets, protos
-
-
-def test_score_frames_and_decode(spark, tmp_path):
-    dets, protos = blob_tensors()
-    model = tmp_path / "constant.onnx"
-    model.write_bytes(constant_model(dets, protos))
-    w, h = 640, 320
-    rows = [(1, 0, w, h, 3, bytes(w * h * 3), True), (1, 1, w, h, 3, bytes(w * h * 3), True), (1, 2, -1, -1, -1, b"", False), (2, 0, w, h, 3, b"short", True)]
-    px = spark.createDataFrame(rows, "board int, frame int, img_w int, img_h int, channels int, pixels binary, ok boolean")
-    scored = scoring.score_frames(px, str(model)).cache()
-    assert scoring.job_counters(scored).first().asDict() | {"inference_sec": 0} == {"processed": 2, "unread": 1, "failed": 1, "inference_sec": 0}
-    found = scoring.scored_detections(scored).collect()
-    assert len(found) == 2 and found[0].confidence == pytest.approx(0.9)
-    xs, ys = [p.x for p in found[0].polygon], [p.y for p in found[0].polygon]
-    assert (min(xs), max(xs), min(ys), max(ys)) == (320, 399, 0, 79)
-    assert tuple(found[0].bbox) == (300, -10, 420, 90)
-    tensors = spark.createDataFrame([(5, 0, w, h, dets[0].tolist(), protos.tobytes())], "board int, frame int, img_w int, img_h int, dets array<array<float>>, protos binary")
-    direct = scoring.decode_masks(tensors).collect()
-    assert [p.asDict() for p in direct[0].polygon] == [p.asDict() for p in found[0].polygon]
-    boards = scoring.run_boards(scored)
-    assert sorted((r.x1, r.x2) for r in boards.polygons.collect()) == [(320, 399), (640, 719)]
-    with pytest.raises(ValueError):
-        scoring.decode(np.zeros((1, 37), np.float32), protos[0], w, h)
+def test_wide_boards_become_images(spark):
+    rows = [(1, i, i * 1000, 1000, 1, bytes([i]) * 3000) for i in range(70)]
+    tiles = spark.createDataFrame(rows, "board int, slot int, x0 int, width int, height int, bgr binary")
+    boards = spark.createDataFrame([(1, 70_000, 1)], "board int, board_width int, board_height int")
+    got = {r.part: (r.x0, r.width, r.png) for r in pixels.board_images(tiles, boards).collect()}
+    for part, lo, hi in ((0, 0, 64), (1, 64, 70)):
+        want = np.repeat(np.arange(lo, hi, dtype=np.uint8), 1000)[None, :, None].repeat(3, axis=2)
+        assert got[part] == (lo * 1000, (hi - lo) * 1000, pixels.encode_png(want))
 
 
 def test_frame_documents_round_trip(spark, tmp_path):

@@ -228,26 +228,6 @@ def test_ranks_over_wide_id_ranges(spark):
     assert nxt == {(g, i): n for g in (1, 2) for i, n in zip(order, [*order[1:], None])}
 
 
-def test_split_compat_equals_seeded_shuffle(spark):
-    feats = [(b, 4 + b * 7 % 30, 0.0 if b % 3 else 0.4) for b in range(80)]
-    df = spark.createDataFrame(feats, "board int, frames int, cluster_frac double")
-    got, alloc = splitting.stratified_split(df, seed=7, mode="compat", forced={"val": [1], "test": [500]})
-    strata = {}
-    for b, f, c in feats:
-        if b == 1:
-            continue
-        key = "frames" + ("[-inf,10]" if f <= 10 else "(10,23]" if f <= 23 else "(23,inf]") + "|cluster_frac" + ("[-inf,0]" if c <= 0 else "(0,inf]")
-        strata.setdefault(key, []).append(b)
-    quotas = {r.stratum: (r.train, r.val, r.test) for r in alloc.collect()}
-    want = {1: "val"}
-    for key, members in strata.items():
-        random.Random(f"7|{key}").shuffle(members)
-        train, val, test = quotas[key]
-        assert train + val + test == len(members)
-        want.update({b: "train" if i < train else "val" if i < train + val else "test" for i, b in enumerate(members)})
-    assert {r.board: r.split for r in got.collect()} == want
-
-
 def test_split_is_independent_of_partitioning(spark):
     feats = [(b, 4 + b * 7 % 30, 0.0 if b % 3 else 0.4) for b in range(60)]
     df = spark.createDataFrame(feats, "board int, frames int, cluster_frac double")
@@ -259,10 +239,15 @@ def test_split_is_independent_of_partitioning(spark):
 
 
 def test_split_arguments(spark):
-    assert splitting.parse_axis("frames:23,10") == ("frames", [10.0, 23.0])
-    for bad in ("frames", ":1", "frames:", "frames:1,1"):
+    feats = spark.createDataFrame([(5, 9, 0.0)], "board int, frames int, cluster_frac double")
+    for cuts in ([], [2.0, 1.0], [1.0, 1.0]):
         with pytest.raises(ValueError):
-            splitting.parse_axis(bad)
+            splitting.stratified_split(feats, [("frames", cuts)])
+    table = lambda *rows: spark.createDataFrame(rows, "board int, split string")
+    for rows in ([(5, "val"), (5, "test")], [(5, "bogus")], [(5, None)]):
+        with pytest.raises(Exception, match="is forced to"):
+            splitting.stratified_split(feats, forced=table(*rows))
+    assert splitting.stratified_split(feats, forced=table((5, "val"), (5, "val")))[0].first().split == "val"
     with pytest.raises(ValueError):
         splitting.normal_ratios((1, 2))
     with pytest.raises(ValueError):
