@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterable
 
-import regex
-
-MEMO_WORDS = 200_000  # words whose ids a Python worker remembers; a speed setting only
-_LATIN = regex.compile(r"[\x21-ɏ]*")  # characters on which every Unicode version agrees
-_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # the file's own pattern, a fixed value
+MEMO_PIECES = 600_000  # pieces whose ids a Python worker remembers; a speed setting only
+MEMO_WORDS = 100_000  # the same for words with other characters
+LATIN_END = 0x250  # characters below it have one category in every Unicode version
 
 
 def _byte_letters() -> dict[int, str]:
@@ -22,12 +21,31 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in shown else 256 + hidden.index(b)) for b in range(256)}
 
 
+def _latin_pieces() -> re.Pattern:
+    """The file's own pattern (a fixed value: contractions, runs of letters, single digits, runs of the rest) for Latin text.
+
+    White space is what the tokenizer's pattern takes for it; U+001C to U+001F are none.
+    """
+    kinds: dict[str, str] = {"L": "", "N": "", "S": ""}
+    for c in map(chr, range(LATIN_END)):
+        kind = "S" if c in "\t\n\v\f\r \x85\xa0" else unicodedata.category(c)[0]
+        if kind in "LN" or c in "\t\n\v\f\r \x85\xa0":
+            kinds[kind] += c
+    letters, numbers, spaces = (re.escape(kinds[k]) for k in "LNS")
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
+
+
+_PIECES = _latin_pieces()
+_LATIN = re.compile(f"[\\0-{chr(LATIN_END - 1)}]*")
+
+
 class WordTokens(dict):
-    """Little-endian uint32 ids of texts, word by word: the tokenizer never joins what stands on both sides of a blank.
+    """Little-endian uint32 ids of texts; the dictionary remembers those of lower-cased pieces between texts and tasks.
 
-    Only for tokenizer files of the ``word_bpe`` kind (composed, lower case, white space dropped). The library's model
-    merges every distinct word piece once; words (the keys here) and pieces are remembered between texts and tasks.
-    Words beyond Latin letters, or with the text of a special token, go through the whole library.
+    Only for tokenizer files of the ``word_bpe`` kind (composed, lower case, white space dropped), which never join what
+    stands on both sides of white space. The library's model merges every distinct piece once. In texts with characters
+    beyond Latin ones, or with what may be a special token, the words are taken one by one, and such words go through
+    the whole library.
     """
 
     def __init__(self, path: str) -> None:
@@ -37,30 +55,37 @@ class WordTokens(dict):
         self.library = Tokenizer.from_file(path)
         self.merge = self.library.model.tokenize
         self.letters = _byte_letters()
-        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self.letters)
-        ids = self.pieces[piece] = array("I", [t.id for t in self.merge(letters)]).tobytes()
+        ids = self[piece] = array("I", [t.id for t in self.merge(letters)]).tobytes()
         return ids
 
-    def __missing__(self, word: str) -> bytes:
-        if "<|" in word or not _LATIN.fullmatch(word):
-            ids = array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
-        else:
-            known = self.pieces.get
-            ids = b"".join([known(p) or self._piece(p) for p in _PIECE.findall(unicodedata.normalize("NFC", word).lower())])
-        self[word] = ids
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            lower = word.lower()
+            if "<|" in word or not _LATIN.fullmatch(lower):
+                ids = array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
+            else:
+                ids = b"".join(map(self.__getitem__, _PIECES.findall(lower)))
+            self.words[word] = ids
         return ids
 
     def encode(self, texts: Iterable[str | None], end: int) -> list[bytes]:
         """The ids of each text (null: empty) with ``end`` appended."""
         get, tail, out = self.__getitem__, end.to_bytes(4, "little"), []
         for text in texts:
-            out.append(b"".join([*map(get, text.split(" ")), tail]) if text else tail)
-            if len(self) > MEMO_WORDS:
+            lower = text.lower() if text else ""
+            if "<|" not in lower and (lower.isascii() or _LATIN.fullmatch(lower)):
+                out.append(b"".join([*map(get, _PIECES.findall(lower)), tail]))
+            else:
+                out.append(b"".join([*map(self._word, text.split(" ")), tail]))
+            if len(self) > MEMO_PIECES:
                 self.clear()
-                self.pieces.clear()
+            if len(self.words) > MEMO_WORDS:
+                self.words.clear()
         return out
 
 
