@@ -112,9 +112,9 @@ def _ranked(pieces: DataFrame, rows: int) -> DataFrame:
 def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a table with an integer ``length`` of 1..max_tokens per row.
 
-    ``pieces`` is read more than once and has to give the same rows each time (a written table). Its other columns
-    are carried along. Pieces of one length are interchangeable: rank r of a length takes the r-th slot of that length
-    in the patterns. Equal rows are separate pieces. An empty table gives an empty result.
+    ``pieces`` is evaluated once, into a written table; its other columns are carried along. Pieces of one length are
+    interchangeable: rank r of a length takes the r-th slot of that length in the patterns. Equal rows are separate
+    pieces. An empty table gives an empty result.
     """
     keyed = cut(pieces.withColumn("_piece", F.monotonically_increasing_id()))
     counts = {int(r.length): int(r.n) for r in keyed.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -35,7 +35,7 @@ def op2_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, d: str) -> DataFrame:
-    pieces = cut(packing.token_pieces(read_table(spark, d, "documents"), tokenizer_path()))
+    pieces = packing.token_pieces(read_table(spark, d, "documents"), tokenizer_path())
     packed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

@@ -9,7 +9,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable
 
-MEMO_PIECES = 600_000  # pieces whose ids a Python worker remembers; a speed setting only
+MEMO_PIECES = 500_000  # pieces whose ids a Python worker remembers; a speed setting only
 MEMO_WORDS = 100_000  # the same for words with other characters
 LATIN_END = 0x250  # characters below it have one category in every Unicode version
 
@@ -32,10 +32,11 @@ def _latin_pieces() -> re.Pattern:
         if kind in "LN" or c in "\t\n\v\f\r \x85\xa0":
             kinds[kind] += c
     letters, numbers, spaces = (re.escape(kinds[k]) for k in "LNS")
-    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
+    return re.compile(f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{spaces}{letters}{numbers}]+")
 
 
 _PIECES = _latin_pieces()
+_ASCII_PIECES = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t\n\v\f\r a-z0-9]+")  # the same for lower-case ASCII
 _LATIN = re.compile(f"[\\0-{chr(LATIN_END - 1)}]*")
 
 
@@ -58,7 +59,7 @@ class WordTokens(dict):
         self.words: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
+        letters = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
         ids = self[piece] = array("I", [t.id for t in self.merge(letters)]).tobytes()
         return ids
 
@@ -78,7 +79,11 @@ class WordTokens(dict):
         get, tail, out = self.__getitem__, end.to_bytes(4, "little"), []
         for text in texts:
             lower = text.lower() if text else ""
-            if "<|" not in lower and (lower.isascii() or _LATIN.fullmatch(lower)):
+            if "<|" in lower:
+                out.append(b"".join([*map(self._word, text.split(" ")), tail]))
+            elif lower.isascii():
+                out.append(b"".join([*map(get, _ASCII_PIECES.findall(lower)), tail]))
+            elif _LATIN.fullmatch(lower):
                 out.append(b"".join([*map(get, _PIECES.findall(lower)), tail]))
             else:
                 out.append(b"".join([*map(self._word, text.split(" ")), tail]))
