@@ -14,7 +14,7 @@ from boardlens.operators.scoring import run_boards
 
 FRAME_TABLE = (
     "board int, frame int, img_w int, img_h int, detections array<struct<bbox:struct<x1:float,y1:float,x2:float,y2:float>,"
-    "confidence:float,cls:int,polygon:array<struct<x:int,y:int>>>>, board_group int"
+    "confidence:float,cls:int,polygon:array<struct<x:int,y:int>>>>, delivered timestamp, board_group int"
 )
 
 
@@ -22,13 +22,24 @@ def board_group(boards_per_folder: int) -> Column:
     return F.floor(F.col("board") / boards_per_folder).cast("int").alias("board_group")
 
 
-def write_frame_table(scored: DataFrame, path: str, boards_per_folder: int = 1) -> None:
-    """Append frames to the detection table. A folder holds a range of boards that can be read alone."""
-    rows = scored.select("board", "frame", "img_w", "img_h", "detections", board_group(boards_per_folder))
+def write_frame_table(scored: DataFrame, path: str, boards_per_folder: int = 1, delivered: Column | None = None) -> None:
+    """Append frames to the detection table. A folder holds a range of boards that can be read alone.
+
+    ``delivered`` orders the deliveries of one frame; it is the time of the write unless given.
+    """
+    when = (F.current_timestamp() if delivered is None else delivered).alias("delivered")
+    rows = scored.select("board", "frame", "img_w", "img_h", "detections", when, board_group(boards_per_folder))
     spread = rows.repartition(F.col("board_group"), F.floor(F.col("frame") / 4096))
     spread.write.mode("append").partitionBy("board_group").parquet(path)
 
 
+def newest_frames(history: DataFrame) -> DataFrame:
+    """The latest delivery of every frame. Deliveries of one time are ordered by a hash of their content, so the choice never depends on files."""
+    content = ["img_w", "img_h", "detections"]
+    latest = F.max_by(F.struct(*content), F.struct("delivered", F.xxhash64(*content)))
+    return history.groupBy("board", "frame").agg(latest.alias("_f")).select("board", "frame", "_f.*")
+
+
 def refresh_boards(batch: DataFrame, frame_table: str, out_table: str, stride: int, eps: float, boards_per_folder: int) -> None:
     """Rebuild the folders a batch touches from all their frames and replace their polygons.
 
@@ -39,7 +50,7 @@ def refresh_boards(batch: DataFrame, frame_table: str, out_table: str, stride: i
     spark = batch.sparkSession
     touched = batch.select("board_group").distinct()
     history = spark.read.schema(FRAME_TABLE).parquet(frame_table)
-    frames = cut(history.join(touched, "board_group", "left_semi").dropDuplicates(["board", "frame"]))
+    frames = cut(newest_frames(history.join(touched, "board_group", "left_semi")))
     merged = run_boards(frames, stride, eps)
     whole = merged.boards.join(merged.polygons, "board", "left").withColumn("board_group", board_group(boards_per_folder))
     spread = whole.repartition(F.col("board_group"), F.floor(F.col("x1") / (1 << 20)))

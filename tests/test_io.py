@@ -284,6 +284,19 @@ def test_incremental_refresh(spark, tmp_path):
     assert [(r.poly_id, r.area) for r in merged] == [(r.poly_id, r.area) for r in direct]
 
 
+def test_newest_delivery_of_a_frame_wins(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 0, 640), (1, 1, 640)], "board int, frame int, img_w int")
+    none = F.array().cast("array<struct<bbox:struct<x1:float,y1:float,x2:float,y2:float>,confidence:float,cls:int,polygon:array<struct<x:int,y:int>>>>")
+    rows = rows.select("board", "frame", "img_w", F.lit(220).alias("img_h"), none.alias("detections"))
+    table = str(tmp_path / "frames")
+    for day, width in ((2, 700), (3, 800), (1, 900)):  # the latest time wins, whatever was written last
+        again = rows.filter("frame = 1").withColumn("img_w", F.lit(width))
+        incremental.write_frame_table(again, table, delivered=F.lit(f"2024-01-0{day}").cast("timestamp"))
+    incremental.write_frame_table(rows.filter("frame = 0"), table)
+    got = incremental.newest_frames(spark.read.schema(incremental.FRAME_TABLE).parquet(table)).collect()
+    assert sorted((r.frame, r.img_w) for r in got) == [(0, 640), (1, 800)]
+
+
 def test_png_layout():
     raw = pixels.encode_png(np.arange(24, dtype=np.uint8).reshape(2, 4, 3))
     assert struct.unpack(">II", raw[16:24]) == (4, 2)
