@@ -130,7 +130,7 @@ def fit_difference(documents: DataFrame, in_target: str, text_col: str = "text")
     """
     words = np.zeros((2, 1 << WORD_BITS))
     pairs = np.zeros((2, 1 << PAIR_BITS))
-    counts = corpus_counts(documents, in_target, text_col).filter("kind = 0 or background > 1")
+    counts = corpus_counts(documents, in_target, text_col)
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -195,6 +195,38 @@ def test_lm_scores_prefer_the_target(spark):
     assert max(r.score for r in out if r.good) < min(r.score for r in out if r.good is False)
 
 
+def plain_lm_scores(rows):
+    """{id: (background loss, target loss)} by dictionaries of words and word pairs, for (id, text, good)."""
+    words, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    split = {i: (text or "").lower().split() for i, text, _ in rows}
+    for i, _, good in rows:
+        for side in (0, 1) if good else (0,):
+            words[side].update(split[i])
+            pairs[side].update(zip(split[i], split[i][1:]))
+    vocabulary = {w for w, n in words[0].items() if n >= lmscore.MIN_COUNT}
+    totals = [sum(x.values()) for x in words]
+    if not totals[1]:
+        words[1], pairs[1], totals[1] = words[0], pairs[0], totals[0]
+
+    def loss(side, before, word):
+        scale = totals[1] / totals[side]
+        mass = words[side][word] if word in vocabulary else totals[side] - sum(words[side][w] for w in vocabulary)
+        single = (mass * scale + lmscore.SMOOTHING) / (totals[1] + lmscore.SMOOTHING * (len(vocabulary) + 1))
+        context = words[side][before] if before in vocabulary else 0
+        return -np.log(lmscore.SHARE * pairs[side][before, word] / context + (1 - lmscore.SHARE) * single if context else single)
+
+    return {i: tuple(np.mean([loss(side, b, w) for b, w in zip([None, *x], x)]) if x else 0.0 for side in (0, 1)) for i, x in split.items()}
+
+
+def test_lm_scores_keep_pairs_met_once(spark):
+    rows = [(1, "a b c d a c", True), (2, "b a d c b d", False), (3, "c c a", None), (4, "", True)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, good boolean")
+    out = df.select("doc_id", lmscore.score_udf(spark, lmscore.fit_difference(df, "good"))("text").alias("s")).collect()
+    want = plain_lm_scores(rows)
+    for r in out:
+        assert np.allclose((r.s.loss_background, r.s.loss_target), want[r.doc_id], rtol=1e-4)
+
+
 def plain_print(text):
     words = [x.translate({c: c + 32 for c in range(65, 91)}) for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
     shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
