@@ -1,4 +1,4 @@
-"""Language-model scores: cross-entropy difference of a target and a background bigram model."""
+"""Language-model scores: cross-entropy difference of a target and a background bigram model with exact counts."""
 
 from __future__ import annotations
 
@@ -8,158 +8,301 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlens.llm.common import word_bytes
+from boardlens.operators.lineage import cut
 
-WORD_BITS = 19  # word slots
-PAIR_BITS = 22  # word-pair slots
 MIN_COUNT = 2  # occurrences in the corpus that put a word into the vocabulary
 SHARE = 0.7  # weight of the pair estimate
 SMOOTHING = 0.1
-MEMO_WORDS = 200_000  # words whose slots a Python worker remembers; a speed setting only
-WORDS_AT_ONCE = 1 << 20
-_START = 0  # the slot before the first word
+MEMO_WORDS = 200_000  # words whose hashes a Python worker remembers; a speed setting only
+CHUNK_WORDS = 1 << 20  # words of a chunk of documents, unless one document alone has more
+CHUNK_ROWS = 50_000
+BUCKET_WORDS = 1 << 19  # running words for each bucket of keys
+_START = np.uint64(0)  # the key before the first word
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
+_NEXT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class _Slots(dict):
-    """The slot of a word, 1 .. 2**WORD_BITS - 1."""
+class _Keys(dict):
+    """The 64-bit key of a word, never _START."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        slot = self[word] = 1 + xxhash.xxh64_intdigest(word, 1) % ((1 << WORD_BITS) - 1)
-        return slot
+        key = self[word] = xxhash.xxh64_intdigest(word, 1) or 1
+        return key
 
 
-_slots = _Slots()
+_keys = _Keys()
 
 
-def word_slots(text: str | None) -> np.ndarray:
-    """The slots of a text's words in lower case; the words are runs of anything but ASCII white space."""
+def word_keys(text: str | None) -> np.ndarray:
+    """The keys of a text's words in lower case; the words are runs of anything but ASCII white space."""
     words = word_bytes(text.lower()) if text else []
-    return np.fromiter(map(_slots.__getitem__, words), np.int64, len(words))
+    return np.fromiter(map(_keys.__getitem__, words), np.uint64, len(words))
 
 
-def pair_slots(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    mixed = (before.astype(np.uint64) * np.uint64(1 << WORD_BITS) + word.astype(np.uint64)) * _PAIR
-    mixed ^= mixed >> np.uint64(31)
-    return ((mixed * _PAIR) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """64-bit keys of (word before, word): as many as there are pairs, none is folded into a table of slots."""
+    mixed = before * _PAIR
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _NEXT + word
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _PAIR
+    return mixed ^ (mixed >> np.uint64(31))
 
 
-def _with_start(slots: np.ndarray) -> np.ndarray:
-    return np.concatenate([[_START], slots[:-1]])
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each: most of them are small."""
+    for kind in ("u1", "u2", "u4"):
+        if not len(counts) or counts.max() <= np.iinfo(kind).max:
+            break
+    else:
+        kind = "u8"
+    return bytes([int(kind[1])]) + counts.astype(f"<{kind}").tobytes()
 
 
-def corpus_counts(documents: DataFrame, in_target: str, text_col: str = "text") -> DataFrame:
-    """(kind, slot, background, target): how often each word slot (kind 0) and pair slot (kind 1) occurs.
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
-    Every word of every text counts for the background, those of rows with a true ``in_target`` for the target too. A
-    task gives each slot that it met once; the sums are made by slot.
-    """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = np.zeros((2, 1 << WORD_BITS), np.int64)
-        pairs = np.zeros((2, 1 << PAIR_BITS), np.int64)
+def _first(sizes: np.ndarray) -> np.ndarray:
+    """Which words start a document, from the documents' numbers of words."""
+    out = np.zeros(int(sizes.sum()), bool)
+    out[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    return out
+
 
-        def add(held: list[np.ndarray], target: int) -> None:
-            if held:
-                flat = np.concatenate(held)
-                before = np.concatenate([_with_start(x) for x in held])
-                words[target] += np.bincount(flat, minlength=words.shape[1])
-                pairs[target] += np.bincount(pair_slots(before, flat), minlength=pairs.shape[1])
+@dataclass
+class _Chunk:
+    """The distinct keys of a chunk, sorted, and the place of each of its words and pairs among them."""
+
+    words: np.ndarray
+    at: np.ndarray
+    first: np.ndarray
+    pairs: np.ndarray
+    pair_at: np.ndarray
+
+    @classmethod
+    def of(cls, words: bytes, at: bytes, sizes: np.ndarray) -> _Chunk:
+        keys, place = np.frombuffer(words, np.uint64), np.frombuffer(at, np.uint32)
+        first = _first(sizes)
+        running = keys[place]
+        pairs, pair_at = np.unique(pair_keys(np.concatenate([running[:1], running[:-1]])[~first], running[~first]), return_inverse=True)
+        return cls(keys, place, first, pairs, pair_at)
+
+
+def _chunks(documents: DataFrame, in_target: str | None, text_col: str) -> DataFrame:
+    """(chunk, ids, sizes, targets, n, n_target, words, at): documents of a task together, their words as places among distinct keys."""
+
+    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = TaskContext.get().partitionId() << 32
+        held: list[tuple] = []
+        made = n = 0
+
+        def row() -> pd.DataFrame:
+            words, at = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True)
+            sizes = np.array([len(x[2]) for x in held], np.int64)
+            targets = np.array([x[1] for x in held], np.int64)
+            return pd.DataFrame({
+                "chunk": [task + made], "ids": [[x[0] for x in held]], "sizes": [sizes.tobytes()], "targets": [targets.astype(np.uint8).tobytes()],
+                "n": [int(sizes.sum())], "n_target": [int((sizes * targets).sum())], "words": [words.tobytes()], "at": [at.astype(np.uint32).tobytes()],
+            })
 
-        held: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
-        sizes = [0, 0]
         for batch in batches:
-            for text, target in zip(batch["text"], batch["target"], strict=True):
-                slots = word_slots(text)
-                if len(slots):
-                    held[target].append(slots)
-                    sizes[target] += len(slots)
-                    if sizes[target] > WORDS_AT_ONCE:
-                        add(held[target], target)
-                        held[target].clear()
-                        sizes[target] = 0
-        for target in (0, 1):
-            add(held[target], target)
-        for kind, table in ((0, words), (1, pairs)):
-            met = np.flatnonzero(table.any(axis=0))
-            for at in range(0, len(met), 1 << 17):
-                slot = met[at : at + (1 << 17)]
-                yield pd.DataFrame({"kind": kind, "slot": slot, "background": table[:, slot].sum(axis=0), "target": table[1, slot]})
-
-    rows = documents.select(F.col(text_col).alias("text"), F.coalesce(F.col(in_target), F.lit(False)).cast("int").alias("target"))
-    found = rows.mapInPandas(count, "kind int, slot bigint, background bigint, target bigint")
-    return found.groupBy("kind", "slot").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+            for doc, target, text in zip(batch["id"].astype(object), batch["target"], batch["text"], strict=True):
+                keys = word_keys(text)
+                if held and (n + len(keys) > CHUNK_WORDS or len(held) >= CHUNK_ROWS):
+                    yield row()
+                    held.clear()
+                    made, n = made + 1, 0
+                held.append((None if pd.isna(doc) else doc, target, keys))
+                n += len(keys)
+        if held:
+            yield row()
+
+    target = F.coalesce(F.col(in_target), F.lit(False)).cast("int") if in_target else F.lit(0)
+    rows = documents.select(F.col("doc_id").cast("string").alias("id"), target.alias("target"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(chunks, "chunk bigint, ids array<string>, sizes binary, targets binary, n bigint, n_target bigint, words binary, at binary")
+
+
+_PARTS = [f"{kind}_{what}" for kind in ("word", "pair") for what in ("keys", "background", "target")]
+_PARTS_TYPE = ", ".join(f"{x} binary" for x in _PARTS)
+
+
+def _parts(chunks: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, chunk, keys and counts): a chunk's distinct keys with their counts, cut into ranges of keys.
+
+    A key comes once from each chunk that has it, however often it occurs there, and hashes spread evenly over the
+    ranges, so frequent words and pairs make no range larger than the others.
+    """
+    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples():
+                sizes = np.frombuffer(r.sizes, np.int64)
+                c = _Chunk.of(r.words, r.at, sizes)
+                good = np.repeat(np.frombuffer(r.targets, np.uint8).astype(bool), sizes)
+                kinds = []
+                for keys, at, hit in ((c.words, c.at, good), (c.pairs, c.pair_at, good[~c.first])):
+                    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+                    kinds.append((keys, np.bincount(at, minlength=len(keys)), np.bincount(at[hit], minlength=len(keys)), cuts))
+                out = []
+                for b in range(buckets):
+                    spans = [(k, n, t, slice(cuts[b], cuts[b + 1])) for k, n, t, cuts in kinds]
+                    if any(s.stop > s.start for *_, s in spans):
+                        out.append((b, r.chunk, *[x for k, n, t, s in spans for x in (k[s].tobytes(), _packed(n[s]), _packed(t[s]))]))
+                yield pd.DataFrame(out, columns=["bucket", "chunk", *_PARTS])
+
+    return chunks.select("chunk", "sizes", "targets", "words", "at").mapInPandas(parts, f"bucket int, chunk bigint, {_PARTS_TYPE}")
+
+
+def _sums(rows: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct keys of a bucket, their two counts over all chunks, and the place of every chunk's keys among them."""
+    each = [np.frombuffer(x, np.uint64) for x in rows[f"{kind}_keys"]]
+    keys, at = np.unique(np.concatenate(each), return_inverse=True)
+    counts = []
+    for side in ("background", "target"):
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, at, np.concatenate([_unpacked(x) for x in rows[f"{kind}_{side}"]]))
+        counts.append(total)
+    return keys, *counts, np.split(at, np.cumsum([len(x) for x in each])[:-1])
 
 
 @dataclass
-class DifferenceModel:
-    """Counts by slot for (background, target); a fixed number of slots whatever the corpus."""
+class _Totals:
+    """What the losses need beside the counts of a word, its context and the pair; ``words`` and ``known`` are (background, target)."""
 
-    vocabulary: np.ndarray  # word slots that both models know; the others share one unknown word
-    words: np.ndarray  # 2 x word slots
-    pairs: np.ndarray  # 2 x pair slots
+    size: int
+    words: np.ndarray
+    known: np.ndarray
 
-    def losses(self, slots: np.ndarray) -> np.ndarray:
-        """2 x words: the background's and the target's loss of every word, in nats.
+    def losses(self, word: np.ndarray, context: np.ndarray, pair: np.ndarray, known: np.ndarray, known_before: np.ndarray) -> np.ndarray:
+        """2 x words: the background's and the target's loss of every word, in nats, from 2 x words counts each.
 
-        An unknown word has its share of the unknown mass; both models mix the pair estimate with the word estimate.
+        An unknown word has its share of the unknown mass; both models mix the pair estimate with the word estimate. The
+        background is matched to the target: its counts are scaled to the target's number of words, so that both are
+        smoothed alike. Without a target word the target has the background's counts.
         """
-        known = np.where(self.vocabulary[slots], slots, _START)
-        before = _with_start(slots)
-        size = int(self.vocabulary.sum()) + 1
-        total = self.words.sum(axis=1, keepdims=True)
-        single = (self.words[:, known] + SMOOTHING) / (total + SMOOTHING * size)
-        pair = self.pairs[:, pair_slots(before, slots)]
-        context = np.where(before == _START, 0, self.words[:, before])
-        seen = np.divide(pair, context, out=np.zeros_like(single), where=context > 0)
-        weight = np.where(context > 0, SHARE, 0.0)
-        return -np.log(weight * np.minimum(seen, 1.0) + (1 - weight) * single)
+        sides = []
+        for side in (0, 1 if self.words[1] else 0):
+            words = self.words[1] or self.words[0]
+            mass = np.where(known, word[side], self.words[side] - self.known[side]) * (words / self.words[side])
+            single = (mass + SMOOTHING) / (words + SMOOTHING * (self.size + 1))
+            before = np.where(known_before, context[side], 0)
+            seen = np.divide(pair[side], before, out=np.zeros(len(single)), where=before > 0)
+            weight = np.where(before > 0, SHARE, 0.0)
+            sides.append(-np.log(weight * seen + (1 - weight) * single))
+        return np.stack(sides)
+
+
+def _chunk_losses(c: _Chunk, words: np.ndarray, pairs: np.ndarray, totals: _Totals) -> np.ndarray:
+    """2 x words: the losses of a chunk's words, given 2 x distinct words and 2 x distinct pairs counts."""
+    before = np.concatenate([c.at[:1], c.at[:-1]])
+    known = words[0] >= MIN_COUNT
+    pair = np.zeros((2, len(c.at)))
+    pair[:, ~c.first] = pairs[:, c.pair_at]
+    return totals.losses(words[:, c.at], words[:, before], pair, known[c.at], known[before] & ~c.first)
+
+
+def scores(documents: DataFrame, in_target: str, text_col: str = "text") -> DataFrame:
+    """(doc_id, n_words, loss_target, loss_background, score) for every row of ``documents``, scored by the models of all of them.
+
+    Every word and pair of every text counts for the background, those of rows with a true ``in_target`` for the target
+    too; the vocabulary are the words met MIN_COUNT times or more. Documents are put into chunks once. Each chunk sends its
+    distinct keys and their counts to ranges of keys, gets the counts of the whole corpus back, and adds up its documents'
+    losses. The number of ranges follows the corpus, so no task holds more than a range or a chunk and the driver holds
+    three sums. The losses are means per word, the score is target minus background: lower is closer to the target. A
+    null text or one without words has no words and zeros.
+    """
+    chunks = cut(_chunks(documents, in_target, text_col))
+    n, n_target = chunks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
+    id_type = documents.schema["doc_id"].dataType
+
+    def answers(rows: pd.DataFrame) -> pd.DataFrame:
+        out = {"chunk": rows["chunk"], "bucket": rows["bucket"]}
+        for kind in ("word", "pair"):
+            _, *counts, places = _sums(rows, kind)
+            for side, total in zip(("background", "target"), counts, strict=True):
+                out[f"{kind}_{side}"] = [_packed(total[x]) for x in places]
+                if kind == "word":
+                    known = counts[0] >= MIN_COUNT
+                    out[f"known_{side}"] = [int(total[known].sum())] + [0] * (len(rows) - 1)
+                    out["size"] = [int(known.sum())] + [0] * (len(rows) - 1)
+        return pd.DataFrame(out)[["chunk", "bucket", "word_background", "word_target", "pair_background", "pair_target", "known_background", "known_target", "size"]]
+
+    answer = "chunk bigint, bucket int, word_background binary, word_target binary, pair_background binary, pair_target binary, known_background bigint, known_target bigint, size bigint"
+    counted = cut(_parts(chunks, 1 + n // BUCKET_WORDS).groupBy("bucket").applyInPandas(answers, answer))
+    known = counted.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("size", "known_background", "known_target")]).first()
+    totals = _Totals(known[0], np.array([n, n_target]), np.array([known[1], known[2]]))
+
+    def score(chunk: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        counts = counts.sort_values("bucket")
+        for r in chunk.itertuples():
+            sizes = np.frombuffer(r.sizes, np.int64)
+            sums = np.zeros((2, len(sizes)))
+            if sizes.any():
+                c = _Chunk.of(r.words, r.at, sizes)
+                words, pairs = (np.stack([np.concatenate([_unpacked(x) for x in counts[f"{kind}_{side}"]]) for side in ("background", "target")]) for kind in ("word", "pair"))
+                losses = _chunk_losses(c, words, pairs, totals)
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                sums = np.stack([np.bincount(of, x, len(sizes)) for x in losses]) / np.maximum(sizes, 1)
+            out.append(pd.DataFrame({"doc_id": r.ids, "n_words": sizes, "loss_target": sums[1], "loss_background": sums[0], "score": sums[1] - sums[0]}))
+        return pd.concat(out) if out else pd.DataFrame({x: [] for x in ("doc_id", "n_words", "loss_target", "loss_background", "score")})
+
+    found = chunks.select("chunk", "ids", "sizes", "words", "at").groupBy("chunk").cogroup(
+        counted.drop("known_background", "known_target", "size").groupBy("chunk")
+    ).applyInPandas(score, "doc_id string, n_words bigint, loss_target double, loss_background double, score double")
+    return found.withColumn("doc_id", F.col("doc_id").cast(id_type))
+
+
+@dataclass
+class DifferenceModel:
+    """The exact counts of a corpus that one process can hold, keys sorted."""
+
+    words: np.ndarray
+    word_counts: np.ndarray  # 2 x words
+    pairs: np.ndarray
+    pair_counts: np.ndarray  # 2 x pairs
+    totals: _Totals
+
+    def losses(self, keys: np.ndarray) -> np.ndarray:
+        """2 x words: the background's and the target's loss of every word of a text."""
+        words, at = np.unique(keys, return_inverse=True)
+        c = _Chunk.of(words.tobytes(), at.astype(np.uint32).tobytes(), np.array([len(keys)]))
+        return _chunk_losses(c, _looked_up(self.words, self.word_counts, words), _looked_up(self.pairs, self.pair_counts, c.pairs), self.totals)
+
+
+def _looked_up(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.zeros((2, len(wanted)), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, counts[:, at], 0)
 
 
 def fit_difference(documents: DataFrame, in_target: str, text_col: str = "text") -> DifferenceModel:
-    """Count the corpus and build both models over one vocabulary: the word slots met MIN_COUNT times or more.
+    """The models of ``scores`` with all counts on the driver, for other texts and a corpus that fits there."""
+    rows = documents if "doc_id" in documents.columns else documents.withColumn("doc_id", F.lit(None).cast("bigint"))
+    chunks = cut(_chunks(rows, in_target, text_col))
+    n, n_target = chunks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
 
-    The background is matched to the target: its counts are scaled to the target's number of words, so that both are
-    smoothed alike. The tables have 2**WORD_BITS and 2**PAIR_BITS slots, which bounds what reaches the driver; words or
-    pairs that share a slot share their counts. Without a target row the target has the background's counts.
-    """
-    words = np.zeros((2, 1 << WORD_BITS))
-    pairs = np.zeros((2, 1 << PAIR_BITS))
-    counts = corpus_counts(documents, in_target, text_col)
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = np.stack([b["kind"].to_numpy(np.int64), b["slot"].to_numpy(np.int64), b["background"].to_numpy(np.int64), b["target"].to_numpy(np.int64)])
-            yield pd.DataFrame({"data": [rows.tobytes()]})
-
-    for r in counts.mapInPandas(packed, "data binary").toLocalIterator():
-        kind, slot, background, target = np.frombuffer(r.data, np.int64).reshape(4, -1)
-        for k, table in ((0, words), (1, pairs)):
-            of = kind == k
-            table[0, slot[of]], table[1, slot[of]] = background[of], target[of]
-    vocabulary = words[0] >= MIN_COUNT
-    totals = words.sum(axis=1)
-    if totals[1] == 0:
-        words[1], pairs[1] = words[0], pairs[0]
-    elif totals[0]:
-        words[0] *= totals[1] / totals[0]
-        pairs[0] *= totals[1] / totals[0]
-    known = words * vocabulary
-    known[:, _START] = words.sum(axis=1) - known.sum(axis=1)  # the unknown word
-    return DifferenceModel(vocabulary, known.astype(np.float32), pairs.astype(np.float32))
+    def sums(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [_sums(rows, kind)[:3] for kind in ("word", "pair")]
+        return pd.DataFrame([[rows["bucket"].iloc[0], *[x.astype(np.int64).tobytes() if i else x.tobytes() for f in found for i, x in enumerate(f)]]])
 
+    found = sorted(_parts(chunks, 1 + n // BUCKET_WORDS).groupBy("bucket").applyInPandas(sums, f"bucket int, {_PARTS_TYPE}").toLocalIterator(), key=lambda r: r.bucket)
+    word, wb, wt, pair, pb, pt = (np.concatenate([np.frombuffer(r[x], np.uint64 if x.endswith("keys") else np.int64) for r in found] or [np.zeros(0, np.uint64)]) for x in _PARTS)
+    known = wb >= MIN_COUNT
+    totals = _Totals(int(known.sum()), np.array([n, n_target]), np.array([wb[known].sum(), wt[known].sum()]))
+    return DifferenceModel(word, np.stack([wb, wt]), pair, np.stack([pb, pt]), totals)
 
-def score_udf(spark: SparkSession, model: DifferenceModel):
-    """A pandas UDF from a text column to (n_words, loss_target, loss_background, score).
 
-    The losses are means per word, the score is target minus background: lower is closer to the target. A null text or
-    one without words has no words and zeros.
-    """
+def score_udf(spark: SparkSession, model: DifferenceModel):
+    """A pandas UDF from a text column to (n_words, loss_target, loss_background, score) as in ``scores``."""
     sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<n_words: bigint, loss_target: double, loss_background: double, score: double>")
@@ -168,9 +311,9 @@ def score_udf(spark: SparkSession, model: DifferenceModel):
         for texts in batches:
             out = []
             for text in texts:
-                slots = word_slots(text)
-                background, target = known.losses(slots).mean(axis=1, dtype=np.float64) if len(slots) else (0.0, 0.0)
-                out.append((len(slots), target, background, target - background))
+                keys = word_keys(text)
+                background, target = known.losses(keys).mean(axis=1) if len(keys) else (0.0, 0.0)
+                out.append((len(keys), target, background, target - background))
             yield pd.DataFrame(out, columns=["n_words", "loss_target", "loss_background", "score"])
 
     return score

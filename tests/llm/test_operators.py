@@ -227,6 +227,25 @@ def test_lm_scores_keep_pairs_met_once(spark):
         assert np.allclose((r.s.loss_background, r.s.loss_target), want[r.doc_id], rtol=1e-4)
 
 
+def test_lm_scores_share_no_counts(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 400) % 5000), i % 3 == 0) for i in range(40)]
+    rows += [(50, " ".join(f"once{i}" for i in range(20000)), True), (51, None, None), (None, "w1 w2", None), (52, "w1 w2", False), (52, "w1 w2", False)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, good boolean")
+    want = plain_lm_scores([(k, *x[1:]) for k, x in enumerate(rows)])
+    expected = sorted((-1 if i is None else i, *want[k][::-1]) for k, (i, _, _) in enumerate(rows))
+    for words, bucket in ((lmscore.CHUNK_WORDS, lmscore.BUCKET_WORDS), (1000, 3000)):
+        monkeypatch.setattr(lmscore, "CHUNK_WORDS", words)
+        monkeypatch.setattr(lmscore, "BUCKET_WORDS", bucket)
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.loss_target, r.loss_background) for r in lmscore.scores(df, "good").collect())
+        assert len(got) == len(rows) and np.allclose(got, expected)
+    udf = df.select(lmscore.score_udf(spark, lmscore.fit_difference(df, "good"))("text").alias("s")).filter("s.n_words = 20000").first().s
+    assert np.allclose((udf.loss_background, udf.loss_target), want[40])
+    assert lmscore.scores(df.filter("false"), "good").count() == 0
+    none = lmscore.scores(df.withColumn("good", F.lit(None).cast("boolean")), "good").collect()
+    assert len(none) == len(rows) and all(r.score == 0 for r in none)
+
+
 def plain_print(text):
     words = [x.translate({c: c + 32 for c in range(65, 91)}) for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
     shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
