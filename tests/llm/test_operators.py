@@ -289,6 +289,24 @@ def test_similar_groups_against_brute_force(spark, docs):
     assert kept == set(roots(sets, near).values())
 
 
+def test_similar_groups_with_added_passages(spark):
+    rng = np.random.default_rng(11)
+    rows, near = [], []
+    for k in range(400):
+        shingles = [50, 100, 200][k % 3]
+        added = round(shingles * rng.uniform(0.17, 0.25))
+        body = [f"w{x}" for x in rng.integers(0, 4000, shingles + 4)]
+        extra = [f"w{x}" for x in rng.integers(0, 4000, added)]
+        rows += [(2 * k, " ".join(body)), (2 * k + 1, " ".join(extra + body if k % 2 else body + extra))]
+    rows += [(5000 + k, " ".join(rows[0][1].split() + [f"tail{k}"])) for k in range(60)]
+    sets = {i: set(simhash.shingle_hashes(x, 5).tolist()) for i, x in rows}
+    prints = {i: simhash.fingerprint(np.unique(simhash.shingle_hashes(x, 2))) for i, x in rows}
+    near = [(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert any((prints[a] ^ prints[b]).bit_count() > similar.RADIUS for a, b in near)
+    got = {r.doc_id for r in similar.distinct_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == set(roots(sets, near).values())
+
+
 def test_odd_rows(spark, odd, tmp_path):
     benchmark = spark.createDataFrame([(1, "one two three four five"), (2, None), (3, "")], "item_id bigint, text string")
     assert quality.with_statistics(odd).count() == len(ODD)
