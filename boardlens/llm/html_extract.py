@@ -63,12 +63,12 @@ def _drops(tag: str, attributes: str, inside_text: bool) -> bool:
     return False
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """The page as (text, characters in links, stripped) for each block element's run of text, in page order.
+def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
+    """The page as (text, characters in links, stripped, inside article or main) for each block element's run of text, in page order.
 
     ``stripped`` marks text inside elements that hold none of the main text. Scripts, styles, comments and markup are gone.
     """
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[str, int, bool, bool]] = []
     parts: list[str] = []
     links = 0
     stack: list[tuple[str, bool]] = []
@@ -79,7 +79,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         nonlocal links
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append((text, links, stripped > 0))
+            lines.append((text, links, stripped > 0, bool(counts.get("article") or counts.get("main"))))
         parts.clear()
         links = 0
 
@@ -156,12 +156,16 @@ def text_spans(lengths: np.ndarray) -> list[tuple[int, int]]:
 
 
 def main_text(page: str | None) -> str:
-    """The article of a page, its blocks joined by an empty line; null and pages without text give an empty string."""
+    """The article of a page, its blocks joined by an empty line; null and pages without text give an empty string.
+
+    Stripped lines are left out before blocks are summed. Inside article or main all other lines stay, also linked and short ones.
+    """
     if not page:
         return ""
-    lines = page_lines(page)
-    lengths = np.array([0 if off or links > LINK_SHARE * len(text) else len(text) for text, links, off in lines], np.int64)
-    return "\n\n".join(lines[i][0] for a, b in text_spans(lengths) for i in range(a, b) if lengths[i])
+    lines = [x for x in page_lines(page) if not x[2]]
+    lengths = np.array([0 if links > LINK_SHARE * len(text) and not inside else len(text) for text, links, _, inside in lines], np.int64)
+    kept = {i for a, b in text_spans(lengths) for i in range(a, b) if lengths[i]}
+    return "\n\n".join(text for i, (text, *_, inside) in enumerate(lines) if inside or i in kept)
 
 
 @F.pandas_udf(StringType())

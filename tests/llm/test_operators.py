@@ -54,6 +54,15 @@ def test_html_keeps_the_article():
     assert html_extract.main_text(None) == html_extract.main_text("") == html_extract.main_text("<nav>x</nav>") == ""
 
 
+def test_html_keeps_links_and_short_lines_of_the_article():
+    long = "A paragraph that is long enough to count as text of the page, whatever stands around it."
+    page = (
+        f"<html><body><nav><a href='/'>Home</a></nav><main><article><h1><a href='/x'>A linked headline</a></h1><p>{long}</p>"
+        f"<aside><p>One</p><p>Two</p><p>Three</p><p>Four</p></aside><p>The end.</p><p><a href='/y'>{long}</a></p></article></main><p><a href='/z'>{long} Menu</a></p></body></html>"
+    )
+    assert html_extract.main_text(page).split("\n\n") == ["A linked headline", long, "The end.", long]
+
+
 def test_isotonic_is_monotone_and_keeps_the_mean():
     mean, weight = np.array([0.2, 0.1, 0.5, 0.4, 0.9]), np.array([1.0, 3, 2, 2, 1])
     out = quality.isotonic(mean, weight)
