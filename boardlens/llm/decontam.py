@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEED_WORDS = 4  # words of a seed and the least length of a tile
+SEED_WORDS = 4  # words of a seed and the least length of a tile; a shorter item is one seed
 COVERAGE = 0.5  # covered share of an item's words that marks a document
 FILTER_BITS = 24  # of the bitmap that drops seeds no item has, before the shuffle
 BROADCAST_SEEDS = 500_000  # item seeds up to here travel to the executors (about 20 MB), more are joined by a shuffle
@@ -44,6 +44,11 @@ def rolling_hashes(text: str | None, size: int = SEED_WORDS) -> tuple[np.ndarray
     return out, len(words)
 
 
+def short_hashes(text: str | None, size: int) -> np.ndarray:
+    """The hashes of the runs of ``size`` < SEED_WORDS words, apart from those of other sizes."""
+    return rolling_hashes(text, size)[0] ^ (np.uint64(size) * _BASE)
+
+
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
@@ -82,11 +87,12 @@ def greedy_tiles(at_text: np.ndarray, at_item: np.ndarray, least: int = SEED_WOR
 
 
 def item_seeds(benchmark: DataFrame, size: int = SEED_WORDS) -> DataFrame:
-    """(item_id, n_words, h, q): the seeds of every benchmark item; items shorter than a seed have none and mark nothing."""
+    """(item_id, n_words, h, q): the seeds of every benchmark item; one shorter than a seed is one seed, one without words has none."""
 
     @F.pandas_udf("struct<n_words: int, h: array<bigint>>")
     def seeds(texts: pd.Series) -> pd.DataFrame:
         found = [rolling_hashes(x, size) for x in texts]
+        found = [(short_hashes(x, n) if 0 < n < size else h, n) for x, (h, n) in zip(texts, found, strict=True)]
         return pd.DataFrame({"n_words": [n for _, n in found], "h": [h.view(np.int64).tolist() for h, _ in found]})
 
     rows = benchmark.select("item_id", seeds(F.col("text")).alias("s"))
@@ -99,7 +105,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     A bitmap of fixed size drops the words that start no item seed where they are read; the seeds left are joined with
     the items' seeds, and the places of one row and item are tiled together. Their number is bounded by the text and
     the item. Tiles of SEED_WORDS words and more count wherever they stand, so reordered passages are found. Rows are
-    judged one by one; null and short texts match nothing, an empty benchmark gives no rows.
+    judged one by one; an item of fewer words counts where its whole word sequence stands. Null texts match nothing, nor do
+    items without words; an empty benchmark gives no rows.
     """
     seeds = item_seeds(benchmark)
     slots = seeds.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("slot")).groupBy((F.col("slot") / 65536).cast("int").alias("high")).agg(
@@ -109,6 +116,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     for r in slots.toLocalIterator():
         bitmap[np.array(r.low, np.int64) + r.high * 65536] = True
     sent = documents.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+    short = sorted(r.n_words for r in seeds.filter(F.col("n_words") < SEED_WORDS).select("n_words").distinct().collect())
 
     @F.pandas_udf("array<struct<p: int, h: bigint>>")
     def hits(texts: pd.Series) -> pd.Series:
@@ -117,14 +125,19 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
         for text in texts:
             h = rolling_hashes(text)[0]
             p = np.flatnonzero(known[_slot(h)])
-            out.append([{"p": a, "h": b} for a, b in zip(p.tolist(), h[p].view(np.int64).tolist(), strict=True)])
+            found = [{"p": a, "h": b} for a, b in zip(p.tolist(), h[p].view(np.int64).tolist(), strict=True)]
+            for size in short:  # the first place of each run is enough for a whole short item
+                h, first = np.unique(short_hashes(text, size), return_index=True)
+                hit = known[_slot(h)]
+                found += [{"p": a, "h": b} for a, b in zip(first[hit].tolist(), h[hit].view(np.int64).tolist(), strict=True)]
+            out.append(found)
         return pd.Series(out, dtype=object)
 
     @F.pandas_udf("struct<covered: int, n_tiles: int, longest: int>")
-    def tile(places: pd.Series) -> pd.DataFrame:
+    def tile(places: pd.Series, n_words: pd.Series) -> pd.DataFrame:
         out = []
-        for place in places:
-            tiles = greedy_tiles(np.array([x["p"] for x in place], np.int64), np.array([x["q"] for x in place], np.int64))
+        for place, n in zip(places, n_words, strict=True):
+            tiles = greedy_tiles(np.array([x["p"] for x in place], np.int64), np.array([x["q"] for x in place], np.int64), min(SEED_WORDS, n))
             sizes = [n for _, _, n in tiles]
             out.append((sum(sizes), len(sizes), max(sizes)))
         return pd.DataFrame(out, columns=["covered", "n_tiles", "longest"])
@@ -134,7 +147,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     side = F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds
     met = places.join(side, "h").groupBy("_row", "item_id").agg(
         F.first(F.struct("doc_id", *keep)).alias("_doc"), F.first("n_words").alias("n_words"), F.collect_list(F.struct("p", "q")).alias("_places")
-    ).select("_doc.*", "item_id", "n_words", tile("_places").alias("_t"))
+    ).select("_doc.*", "item_id", "n_words", tile("_places", "n_words").alias("_t"))
     return met.select("doc_id", *keep, "item_id", (F.col("_t.covered") / F.col("n_words")).alias("coverage"), "_t.n_tiles", "_t.longest").filter(
         F.col("coverage") >= coverage
     )

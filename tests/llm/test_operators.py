@@ -162,6 +162,13 @@ def test_tiling_against_brute_force(spark):
     assert {(r.doc_id, r.item_id): r.coverage for r in got} == pytest.approx(want) and (99, 0) in want
 
 
+def test_short_benchmark_items(spark):
+    rows = spark.createDataFrame([(1, "What is it? Is what it is."), (2, "it"), (3, "so is he"), (4, None), (5, "one two three four five")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "is it"), (2, "It!"), (3, "so is he"), (4, "?"), (5, "two three four five")], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.coverage, r.n_tiles, r.longest) for r in decontam.contaminated(rows, items).collect()}
+    assert got == {(1, 1): (1.0, 1, 2), (1, 2): (1.0, 1, 1), (2, 2): (1.0, 1, 1), (3, 3): (1.0, 1, 3), (5, 5): (1.0, 1, 4)}
+
+
 def test_chat_round_trip(spark):
     turns = defaultdict(list)
     for r in read_table(spark, SF, "conversations").orderBy("conv_id", "turn").collect():
