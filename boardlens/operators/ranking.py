@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boardlens.operators.lineage import cut
+
 _LOW_BITS = 20  # at most 2**20 unique integers share a bucket
 
 
@@ -52,3 +54,18 @@ def with_next(df: DataFrame, by: list[str], value: str, name: str = "next") -> D
         .withColumn(name, F.coalesce("_lead", "_next_first"))
         .drop("_bucket", "_lead", "_next_first")
     )
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """0-based rank over the whole table in the order given, which should leave no ties.
+
+    The rows are dealt into ranges of the order, numbered inside each range and moved by the rows of the
+    ranges before it, so no task sees more than a range.
+    """
+    dealt = cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    numbered = dealt.withColumn("_row", F.row_number().over(inside)).join(offsets, "_part")
+    return numbered.withColumn(name, (F.col("_offset") + F.col("_row") - 1).cast("bigint")).drop("_part", "_row", "_offset")
