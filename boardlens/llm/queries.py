@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlens.llm import chat, decontam, html_extract, langid, lmscore, packing, quality, rules, simhash, textstats, token_files
+from boardlens.llm import chat, decontam, html_extract, langid, lmscore, mixing, packing, quality, repair, rules, simhash, textstats, token_files, trie
 from boardlens.llm.common import held_out, read_table
 from boardlens.operators.lineage import checkpoint_folder, cut
 
@@ -89,10 +89,26 @@ def op10_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, d, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(cut(trie.sequences(read_table(spark, d, "conversations")))))
+
+
+def op12_source_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(read_table(spark, d, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    conversations = repair.by_conversation(read_table(spark, d, "conversations"))
+    repaired = repair.repair(conversations.select("conv_id", repair.damaged(F.col("conv_id"), F.col("turns")).alias("turns")))
+    lines = F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    return repaired.withColumn("repaired_sha256", F.sha2(F.array_join(lines, "\n").cast("binary"), 256)).drop("repaired")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_html_extraction, op2_quality_classifier, op3_packing, op4_quality_rules, op5_token_files, op6_decontamination,
         op7_chat_formatting, op8_language_id, op9_lm_scoring, op10_simhash_near_dedup,
+        op11_conversation_trie, op12_source_mixing, op13_conversation_repair,
     ]
     return {q.__name__: q for q in listed}
 
