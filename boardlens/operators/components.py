@@ -1,8 +1,7 @@
-"""Connected components of graphs that come in groups (a board, a frame).
+"""Connected components of graphs that come in groups (a board, a frame), whatever the size of a group.
 
-Groups up to a checked size are labelled in one streaming pass over key-sorted Arrow batches;
-larger groups are contracted with star joins over checkpointed edge tables. Both give every node
-the smallest node id of its component.
+Tasks first contract the edges they hold, batch by batch, then star joins over written edge tables
+join what the batches have left. Every node gets the smallest node id of its component.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from pyspark.sql import types as T
 
 from boardlens.operators.lineage import cut
 
-MAX_GROUP_ROWS = 2_000_000
+BATCH_EDGES = 1 << 18  # edges a task contracts at once
 
 
 def smallest_reachable(n: int, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
@@ -37,65 +36,49 @@ def smallest_reachable(n: int, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
     return label
 
 
-def _label_batch(pdf: pd.DataFrame, on: list[str]) -> pd.DataFrame:
-    """Label all groups of a batch at once; rows flagged as nodes are returned."""
-    key = pdf[on].to_numpy()
-    ends = np.vstack([np.column_stack([key, pdf["_src"]]), np.column_stack([key, pdf["_dst"]])])
+def _batch_stars(edges: pd.DataFrame, on: list[str]) -> pd.DataFrame:
+    """The components of some edges as links from every node to the smallest one."""
+    key = edges[on].to_numpy()
+    ends = np.vstack([np.column_stack([key, edges["_src"]]), np.column_stack([key, edges["_dst"]])])
     order = np.lexsort(ends.T[::-1])
     ordered = ends[order]
     fresh = np.ones(len(ordered), dtype=bool)
     fresh[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
     code = np.empty(len(ordered), dtype=np.int64)
     code[order] = np.cumsum(fresh) - 1
-    ids = ordered[fresh][:, -1]
-    src, dst = code[: len(pdf)], code[len(pdf) :]
-    label = smallest_reachable(len(ids), src, dst)
-    is_node = pdf["_node"].to_numpy()
-    out = pdf[is_node].drop(columns=["_dst", "_node"])
-    out["comp"] = ids[label[src[is_node]]]
-    return out
+    nodes = ordered[fresh]
+    label = smallest_reachable(len(nodes), code[: len(edges)], code[len(edges) :])
+    tied = np.flatnonzero(label != np.arange(len(nodes)))
+    out = pd.DataFrame(nodes[tied], columns=[*on, "_src"])
+    return out.assign(_dst=nodes[label[tied], -1])
 
 
-def _stream_groups(on: list[str]):
-    """Process key-sorted batches group-complete; only the open last group is carried over."""
+def _contracted(edges: DataFrame, on: list[str], batch_edges: int) -> DataFrame:
+    """Fewer edges with the same components."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending: list[pd.DataFrame] = []
-        open_key: list | None = None
+        held: list[pd.DataFrame] = []
+        n = 0
         for pdf in batches:
-            if pdf.empty:
-                continue
-            first, last = list(pdf[on].iloc[0]), list(pdf[on].iloc[-1])
-            if open_key is not None and first == last == open_key:
-                pending.append(pdf)
-                continue
-            is_open = (pdf[on] == last).all(axis=1).to_numpy()
-            closed = pd.concat([*pending, pdf[~is_open]], ignore_index=True)
-            if len(closed):
-                yield _label_batch(closed, on)
-            pending, open_key = [pdf[is_open]], last
-        if pending:
-            yield _label_batch(pd.concat(pending, ignore_index=True), on)
-
-    return run
-
-
-def _grouped(work: DataFrame, on: list[str], id_col: str, extras: list[str]) -> DataFrame:
-    fields = [work.schema[c] for c in [*on, *extras]]
-    fields += [T.StructField("_src", T.LongType()), T.StructField("comp", T.LongType())]
-    labelled = (
-        work.repartition(*on).sortWithinPartitions(*on).mapInPandas(_stream_groups(on), schema=T.StructType(fields))
-    )
-    return labelled.select(*on, F.col("_src").alias(id_col), *extras, "comp")
-
-
-def _star_contract(edges: DataFrame, on: list[str]) -> DataFrame:
+            held.append(pdf)
+            n += len(pdf)
+            if n >= batch_edges:
+                yield _batch_stars(pd.concat(held, ignore_index=True), on)
+                held, n = [], 0
+        if n:
+            yield _batch_stars(pd.concat(held, ignore_index=True), on)
+
+    ids = [T.StructField(c, T.LongType()) for c in ("_src", "_dst")]
+    return edges.mapInPandas(run, T.StructType([*(edges.schema[c] for c in on), *ids]))
+
+
+def _star_contract(edges: DataFrame, on: list[str], batch_edges: int) -> DataFrame:
     """Alternate large-star and small-star steps until the edges are stars around the minimum.
 
     Every step is a partial aggregation of minima and one join; a hub node is a skewed key of that
     join whose other side is one row, which adaptive execution splits.
     """
-    current = cut(edges.filter("_src <> _dst").select(*on, "_src", "_dst").distinct())
+    current = cut(_contracted(edges.filter("_src <> _dst").select(*on, "_src", "_dst"), on, batch_edges).distinct())
     seen: tuple | None = None
     while True:
         both = current.unionByName(current.select(*on, F.col("_dst").alias("_src"), F.col("_src").alias("_dst")))
@@ -117,37 +100,13 @@ def _star_contract(edges: DataFrame, on: list[str]) -> DataFrame:
 
 
 def connected_components(
-    nodes: DataFrame,
-    edges: DataFrame,
-    on: list[str],
-    id_col: str,
-    src: str,
-    dst: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    nodes: DataFrame, edges: DataFrame, on: list[str], id_col: str, src: str, dst: str, batch_edges: int = BATCH_EDGES
 ) -> DataFrame:
-    """``nodes`` with a column ``comp``. Integer ids are unique within a group.
+    """``nodes`` with a column ``comp``. Integer ids are unique within a group, group columns are integers.
 
-    ``edges`` have the group columns plus ``src`` and ``dst``. Further numeric node columns are kept.
+    ``edges`` have the group columns plus ``src`` and ``dst``, in either direction and with repeats. Further node columns are kept.
     """
-    extras = [c for c in nodes.columns if c not in (*on, id_col)]
-    node_rows = nodes.select(
-        *on, F.col(id_col).cast("bigint").alias("_src"), F.col(id_col).cast("bigint").alias("_dst"),
-        F.lit(True).alias("_node"), *extras,
-    )
-    edge_rows = edges.select(
-        *on, F.col(src).cast("bigint").alias("_src"), F.col(dst).cast("bigint").alias("_dst"),
-        F.lit(False).alias("_node"), *[F.lit(0).cast(nodes.schema[c].dataType).alias(c) for c in extras],
-    )
-    work = cut(node_rows.unionByName(edge_rows))
-    hot = work.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows).select(*on)
-    if hot.isEmpty():
-        return _grouped(work, on, id_col, extras)
-    hot = cut(hot)
-    usual = _grouped(work.join(hot, on, "left_anti"), on, id_col, extras)
-    big = work.join(hot, on, "left_semi")
-    stars = _star_contract(big.filter("not _node"), on)
-    rest = big.filter("_node").select(*on, F.col("_src").alias("_id"), *extras)
-    labelled = rest.join(stars, [*on, "_id"], "left").select(
-        *on, F.col("_id").alias(id_col), *extras, F.coalesce("comp", "_id").alias("comp")
-    )
-    return usual.unionByName(labelled)
+    ids = edges.select(*on, F.col(src).cast("bigint").alias("_src"), F.col(dst).cast("bigint").alias("_dst"))
+    stars = _star_contract(ids, on, batch_edges).withColumnRenamed("comp", "_comp")
+    rows = nodes.withColumn("_id", F.col(id_col).cast("bigint"))
+    return rows.join(stars, [*on, "_id"], "left").select(*nodes.columns, F.coalesce("_comp", "_id").alias("comp"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardlens.operators import outline
-from boardlens.operators.components import MAX_GROUP_ROWS, connected_components
+from boardlens.operators.components import connected_components
 from boardlens.operators.lineage import cut
 from boardlens.operators.pairs import overlap_pairs
 
@@ -93,14 +93,11 @@ def join_chunks(runs: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFr
 
     A run that crosses borders is a chain of pieces; only pieces that touch a border take part.
     """
-    runs = cut(runs)
     at_start, at_end = F.col("xs") % chunk == 0, F.col("xe") % chunk == chunk - 1
     inner = runs.filter(~at_start & ~at_end).select(*on, "y", "xs", "xe")
-    nodes = runs.filter(at_start | at_end).select(*on, "y", F.col("xs").cast("bigint").alias("xs"), "xe")
-    left = nodes.filter(at_end).select(*on, "y", F.col("xs").alias("_a"), (F.col("xe") + 1).cast("bigint").alias("_b"))
-    links = left.join(nodes.select(*on, "y", F.col("xs").alias("_b")), [*on, "y", "_b"])
-    comps = connected_components(nodes, links, [*on, "y"], "xs", "_a", "_b")
-    fused = comps.groupBy(*on, "y", "comp").agg(F.min("xs").cast("int").alias("xs"), F.max("xe").alias("xe")).drop("comp")
+    in_row = Window.partitionBy(*on, "y").orderBy("xs")  # two pieces for each chunk of the row at most
+    pieces = runs.filter(at_start | at_end).withColumn("_new", (F.coalesce(F.lag("xe").over(in_row), F.lit(-2)) + 1 < F.col("xs")).cast("int"))
+    fused = pieces.withColumn("_run", F.sum("_new").over(in_row)).groupBy(*on, "y", "_run").agg(F.min("xs").alias("xs"), F.max("xe").alias("xe"))
     return inner.unionByName(fused.select(*on, "y", "xs", "xe"))
 
 
@@ -129,9 +126,7 @@ def run_edges(runs: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFram
     return below.unionByName(across)
 
 
-def union_components(
-    spans: DataFrame, on: list[str], chunk: int = CHUNK_PX, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def union_components(spans: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFrame:
     """8-connected regions of the union of all spans of a group.
 
     Returns runs with their region: on, y, xs, xe, comp. ``comp`` is the id of the region's first
@@ -139,7 +134,7 @@ def union_components(
     """
     runs = cut(merge_spans(spans, on, chunk))
     nodes = runs.select(*on, run_id("y", "xs").alias("id"), "xe")
-    comps = connected_components(nodes, run_edges(runs, on, chunk), on, "id", "a_id", "b_id", max_group_rows)
+    comps = connected_components(nodes, run_edges(runs, on, chunk), on, "id", "a_id", "b_id")
     y = F.shiftright("id", 32)
     return comps.select(*on, y.cast("int").alias("y"), (F.col("id") - y * _ROW).cast("int").alias("xs"), "xe", "comp")
 

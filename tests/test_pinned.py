@@ -48,10 +48,9 @@ def boxes(spark, name, rows):
     return spark.createDataFrame([(1, i, *r) for i, r in enumerate(rows)], f"board int, {name} bigint, x1 int, y1 int, x2 int, y2 int")
 
 
-@pytest.mark.parametrize("limit", [10, 0])
-def test_greedy_match(spark, limit):
+def test_greedy_match(spark):
     def run(p, g, t):
-        got = matching.greedy_match(boxes(spark, "pred_id", p), boxes(spark, "gt_id", g), t, max_group_rows=limit)
+        got = matching.greedy_match(boxes(spark, "pred_id", p), boxes(spark, "gt_id", g), t)
         return sorted((r.pred_id, r.gt_id) for r in got.collect())
 
     a, far, half = (0, 0, 10, 10), (50, 50, 60, 60), (5, 0, 15, 10)

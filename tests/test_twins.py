@@ -42,11 +42,11 @@ def flood(mask):
     return out
 
 
-@pytest.mark.parametrize("chunk, limit", [(1024, 10**6), (32, 10**6), (32, 20)])
-def test_union_equals_flood_fill(spark, chunk, limit):
+@pytest.mark.parametrize("chunk", [1024, 32])
+def test_union_equals_flood_fill(spark, chunk):
     rows = random_boxes(150)
     df = spark.createDataFrame(rows, f"board int, id bigint, {BOX}")
-    regions = raster.union_components(raster.rasterize_boxes(df), ["board"], chunk, limit)
+    regions = raster.union_components(raster.rasterize_boxes(df), ["board"], chunk)
     got = {(r.board, r.comp): r for r in raster.region_stats(regions, ["board"]).collect()}
     want = {}
     for b in range(3):
@@ -141,8 +141,8 @@ def iou(a, b):
     return np.float32(w * h / union)
 
 
-@pytest.mark.parametrize("limit, t", [(10**6, 0.1), (10, 0.1), (0, 0.1), (10**6, 0.0)])
-def test_greedy_equals_sequential_loop(spark, limit, t):
+@pytest.mark.parametrize("t", [0.1, 0.0])
+def test_greedy_equals_sequential_loop(spark, t):
     pred = random_boxes(120, 2, seed=3, wide=150, high=60)
     gt = random_boxes(120, 2, seed=4, wide=150, high=60)
     pred += [(b, i + 1000, *r) for b, i, *r in pred[:30]] + [(b, i + 2000, *r) for b, i, *r in pred[:10]]
@@ -163,12 +163,12 @@ def test_greedy_equals_sequential_loop(spark, limit, t):
                 used_g.add(j)
                 want.add((board, i, j))
     to_df = lambda rows, name: spark.createDataFrame(rows, f"board int, {name} bigint, {BOX}")
-    got = matching.greedy_match(to_df(pred, "pred_id"), to_df(gt, "gt_id"), t, max_group_rows=limit)
+    got = matching.greedy_match(to_df(pred, "pred_id"), to_df(gt, "gt_id"), t)
     assert {(r.board, r.pred_id, r.gt_id) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
-def test_components(spark, limit):
+@pytest.mark.parametrize("batch", [10**6, 20, 1])
+def test_components(spark, batch):
     rnd = random.Random(2)
     edges = [(g, rnd.randrange(80), rnd.randrange(80)) for g in range(3) for _ in range(55)] + [(3, i, i + 1) for i in range(99)]
     nodes = [(g, i) for g in range(4) for i in range(100)]
@@ -183,7 +183,7 @@ def test_components(spark, limit):
         lo, hi = sorted((find((g, a)), find((g, b))))
         parent[hi] = lo
     got = components.connected_components(
-        spark.createDataFrame(nodes, "g int, id bigint"), spark.createDataFrame(edges, "g int, a bigint, b bigint"), ["g"], "id", "a", "b", limit
+        spark.createDataFrame(nodes, "g int, id bigint"), spark.createDataFrame(edges, "g int, a bigint, b bigint"), ["g"], "id", "a", "b", batch
     )
     assert {(r.g, r.id): r.comp for r in got.collect()} == {n: find(n)[1] for n in nodes}
 
@@ -196,6 +196,34 @@ def test_streamed_groups_survive_batch_borders(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
 
 
+@pytest.mark.parametrize("backwards", [False, True])
+def test_greedy_settles_a_long_chain(spark, monkeypatch, backwards):
+    """Evenly spaced equal boxes: every candidate waits for the one before it, 10,000 times over."""
+    n = 5000
+    tables = []
+    monkeypatch.setattr(matching, "cut", lambda df, cut=matching.cut: tables.append(1) or cut(df))
+    rows = lambda shift, name: spark.range(n).selectExpr("0 board", f"{'4999 - id' if backwards and name == 'pred_id' else 'id'} {name}", f"20 * id + {shift} x1", "0L y1", f"20 * id + {shift} + 30 x2", "9L y2")
+    got = {(r.pred_id, r.gt_id) for r in matching.greedy_match(rows(0, "pred_id"), rows(10, "gt_id"), 0.5).collect()}
+    assert got == ({(n - 1 - i, i - 1) for i in range(1, n)} if backwards else {(i, i) for i in range(n)})
+    assert len(tables) < 40
+
+
+def test_greedy_with_crowded_nodes(spark):
+    """Random candidates over few boxes with copies, in the order of a sequential pass."""
+    rnd = random.Random(12)
+    pred = [(0, i, *rnd.choice([(x, y, x + 40, y + 30) for x in range(0, 60, 4) for y in (0, 5, 9)])) for i in range(150)]
+    gt = [(0, i, *rnd.choice([(x, y, x + 36, y + 34) for x in range(0, 60, 3) for y in (0, 4, 8)])) for i in range(170)]
+    first = lambda rows: {r[2:]: min(q[1] for q in rows if q[2:] == r[2:]) for r in rows}
+    p0, g0, used_p, used_g, want = first(pred), first(gt), set(), set(), set()
+    cand = sorted((-iou(p[2:], g[2:]), p0[p[2:]], g0[g[2:]], p[1], g[1]) for p in pred for g in gt if iou(p[2:], g[2:]) >= np.float32(0.1))
+    for *_, i, j in cand:
+        if i not in used_p and j not in used_g:
+            used_p.add(i), used_g.add(j), want.add((i, j))
+    to_df = lambda rows, name: spark.createDataFrame(rows, f"board int, {name} bigint, {BOX}")
+    got = matching.greedy_match(to_df(pred, "pred_id"), to_df(gt, "gt_id"), 0.1).collect()
+    assert {(r.pred_id, r.gt_id) for r in got} == want
+
+
 def test_near_pairs_and_clusters(spark):
     rnd = random.Random(8)
     rows = []
@@ -273,6 +301,6 @@ def test_hot_group_keeps_every_row(spark):
     df = spark.createDataFrame(rows, f"board int, ann_id bigint, {BOX}")
     got = {r.board: (r.raw, r.distinct) for r in stats.count_instances(df, 0.5).collect()}
     assert got[0] == (700, 301) and all(got[b] == (1, 1) for b in range(1, 20))
-    m = matching.greedy_match(df.withColumnRenamed("ann_id", "pred_id"), df.withColumnRenamed("ann_id", "gt_id"), 0.5, max_group_rows=50)
+    m = matching.greedy_match(df.withColumnRenamed("ann_id", "pred_id"), df.withColumnRenamed("ann_id", "gt_id"), 0.5)
     assert {(r.board, r.pred_id) for r in m.collect()} == {(r[0], r[1]) for r in rows}
     assert m.filter("pred_id <> gt_id").count() == 0
