@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _TABLES = """
 lines_g AS (
   SELECT l_orderkey, l_linenumber, min(l_partkey) AS pk, max(l_suppkey) AS sk FROM lineitem GROUP BY l_orderkey, l_linenumber),
@@ -66,7 +68,7 @@ strict AS (
   FROM (SELECT *, CAST(t[2] AS FLOAT) * CAST(img_w AS FLOAT) AS px, CAST(t[3] AS FLOAT) * CAST(img_h AS FLOAT) AS py,
           CAST(t[4] AS FLOAT) * CAST(img_w AS FLOAT) * 0.5::FLOAT AS dx, CAST(t[5] AS FLOAT) * CAST(img_h AS FLOAT) * 0.5::FLOAT AS dy
         FROM ok WHERE n = 5)),
-strict_ok AS (SELECT * FROM strict WHERE x2 > x1 AND y2 > y1)"""
+strict_ok AS MATERIALIZED (SELECT * FROM strict WHERE x2 > x1 AND y2 > y1)"""
 )
 
 _FLOATS = (
@@ -95,7 +97,7 @@ def _near(a: str, b: str) -> str:
     return f"sqrt({gx} * {gx} + {gy} * {gy}) <= greatest(5.0::DOUBLE, 0.25::DOUBLE * least({side}))"
 
 
-_UNIQ_FLOATS = """uniq AS (
+_UNIQ_FLOATS = """uniq AS MATERIALIZED (
   SELECT board, frame, x1, y1, x2, y2, min(ann_id) AS ann_id, count(*) AS copies FROM floats GROUP BY ALL)"""
 _NEAR = f"""{_UNIQ_FLOATS},
 near AS (SELECT a.board, a.frame, a.ann_id AS a_ann_id, b.ann_id AS b_ann_id, a.copies AS a_copies, b.copies AS b_copies
@@ -264,7 +266,8 @@ ap AS (SELECT threshold, sum(best) / 101 AS ap FROM grid GROUP BY threshold)"""
 
 
 def _q(body: str, *ctes: str, recursive: bool = False) -> str:
-    parts = ",".join([_TABLES, *ctes])
+    base = re.sub(r"(\n\w+ AS )\(", r"\1MATERIALIZED (", _TABLES)  # several parts of a statement read the derived tables
+    parts = ",".join([base, *ctes])
     return f"WITH {'RECURSIVE ' if recursive else ''}{parts}\n{body}"
 
 
@@ -381,7 +384,7 @@ def statements() -> dict[str, str]:
         "iou_pairs": _q(
             f"""SELECT a.board, a.ann_id AS a_ann_id, b.ann_id AS b_ann_id, a.copies AS a_copies, b.copies AS b_copies, {_iou("a", "b")} AS iou
                FROM u a JOIN u b ON a.board = b.board AND a.ann_id < b.ann_id WHERE {_iou("a", "b")} >= 0.3::FLOAT""",
-            """u AS (SELECT board, x1 + frame * 320 AS x1, y1, x2 + frame * 320 AS x2, y2, min(ann_id) AS ann_id, count(*) AS copies FROM boxes
+            """u AS MATERIALIZED (SELECT board, x1 + frame * 320 AS x1, y1, x2 + frame * 320 AS x2, y2, min(ann_id) AS ann_id, count(*) AS copies FROM boxes
                GROUP BY board, x1 + frame * 320, y1, x2 + frame * 320, y2)""",
         ),
         "distinct_instances": _q(
@@ -390,7 +393,7 @@ def statements() -> dict[str, str]:
         "cross_frame_dups": _q(
             f"""SELECT a.board, a.frame, a.ann_id AS a_ann_id, b.ann_id AS b_ann_id, a.copies AS a_copies, b.copies AS b_copies, {_iou("a", "b")} AS iou
                FROM u a JOIN u b ON a.board = b.board AND b.frame = a.frame + 1 WHERE {_iou("a", "b")} >= 0.5::FLOAT""",
-            """u AS (SELECT board, frame, x1 + frame * 320 AS x1, y1, x2 + frame * 320 AS x2, y2, min(ann_id) AS ann_id, count(*) AS copies FROM boxes
+            """u AS MATERIALIZED (SELECT board, frame, x1 + frame * 320 AS x1, y1, x2 + frame * 320 AS x2, y2, min(ann_id) AS ann_id, count(*) AS copies FROM boxes
                GROUP BY board, frame, x1 + frame * 320, y1, x2 + frame * 320, y2)""",
         ),
         "match_candidates": _q(
