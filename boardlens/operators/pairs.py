@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardlens.functions.geometry import bbox_iou, box_cols, is_near, min_side
+from boardlens.operators.components import connected_components
+from boardlens.operators.lineage import cut
+from boardlens.operators.ranking import rank_by_id
 
 BOX = ["x1", "y1", "x2", "y2"]
 CELL_PX = 64
@@ -22,6 +25,16 @@ def distinct_boxes(boxes: DataFrame, on: list[str], id_col: str) -> DataFrame:
     return boxes.groupBy(*on, *BOX).agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("copies"))
 
 
+def pile_members(boxes: DataFrame, on: list[str], id_col: str) -> DataFrame:
+    """Equal boxes: on, first_id (the smallest of the pile), rank, id, for every box of a pile of two or more.
+
+    Pairs name the first of equal boxes; joined with this table they name them all.
+    """
+    piles = distinct_boxes(boxes, on, id_col).filter("copies > 1").select(*on, *BOX, F.col(id_col).alias("first_id"))
+    members = boxes.select(*on, *BOX, F.col(id_col).alias(id_col)).join(piles, [*on, *BOX])
+    return rank_by_id(members, [*on, "first_id"], id_col, "rank").select(*on, "first_id", "rank", id_col)
+
+
 def _cells(df: DataFrame, on: list[str], side: str, cell: int, pad: Column | None) -> DataFrame:
     x1, y1, x2, y2 = box_cols()
     grow = pad if pad is not None else F.lit(0)
@@ -96,6 +109,87 @@ def near_pairs(
     return pairs.select(*on, "a_" + id_col, "b_" + id_col, "a_copies", "b_copies")
 
 
+def _level(size: Column) -> Column:
+    """Whole powers of two in a size of 1 or more, else -1."""
+    return F.when(size >= 1, F.floor(F.log2(size.cast("double")))).otherwise(F.lit(-1)).cast("int")
+
+
+def _linked_groups(unique: DataFrame, on: list[str], id_col: str, alike: list[Column], linked: Column, cell: int, pad: Column | None = None) -> DataFrame:
+    """``unique`` with ``comp``, the smallest id of the group that links connect a box to; crowds are never paired.
+
+    Boxes that agree on ``alike`` are surely ``linked`` (a condition over columns ``a_`` and ``b_``), so they are tied to the first of
+    them. The firsts are paired over the grid: at most one for each key, however many boxes share it. What may be left are links
+    of other boxes between different groups found so; only grid cells with several groups are looked at, and there the boxes
+    of all groups but the largest.
+    """
+    unique = cut(unique)
+    keys = [f"_k{i}" for i in range(len(alike))]
+    keyed = unique.withColumns(dict(zip(keys, alike, strict=True)))
+    box = F.struct(id_col, *BOX)
+    lows = keyed.groupBy(*on, *keys).agg(F.min_by(box, id_col).alias("_low"), F.count(F.lit(1)).alias("_n"))
+    a_id, b_id = "a_" + id_col, "b_" + id_col
+    firsts = lows.select(*on, "_low.*")
+    ties = cut(
+        keyed.join(lows.filter("_n > 1").select(*on, *keys, F.col("_low")[id_col].alias("_first")), [*on, *keys])
+        .filter(F.col(id_col) != F.col("_first")).select(*on, F.col("_first").alias(a_id), F.col(id_col).alias(b_id))
+    )
+    pairs = overlap_pairs(firsts, firsts, on, cell, pad, keep=(F.col(a_id) < F.col(b_id)) & linked).select(*on, a_id, b_id)
+    groups = connected_components(unique, ties.unionByName(pairs), on, id_col, a_id, b_id)
+    if ties.isEmpty():
+        return groups
+    groups = cut(groups.join(ties.select(*on, F.col(b_id).alias(id_col), F.lit(True).alias("_tied")), [*on, id_col], "left"))
+    at = [*on, "_cx", "_cy"]
+    side = lambda s: _cells(groups.select(*on, id_col, *BOX, "comp", "_tied"), on, s, cell, pad)
+    held = side("a_").groupBy(*at, "a_comp").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = held.groupBy(*at).agg(F.max_by("a_comp", F.struct("_n", "a_comp")).alias("_most"), F.count(F.lit(1)).alias("_groups"))
+    mixed = cut(mixed.filter("_groups > 1").drop("_groups"))
+    minor = side("a_").join(mixed, at).filter("a_comp <> _most")
+    others = side("b_").join(mixed.drop("_most"), at, "left_semi")
+    hit = (F.least("a_hi_x", "b_hi_x") >= F.greatest("a_lo_x", "b_lo_x")) & (F.least("a_hi_y", "b_hi_y") >= F.greatest("a_lo_y", "b_lo_y"))
+    unseen = F.coalesce("a__tied", "b__tied", F.lit(False))  # two firsts have been compared
+    met = minor.join(others, at).filter((F.col("a_comp") != F.col("b_comp")) & unseen & hit & linked)
+    more = cut(met.select(*on, F.least("a_comp", "b_comp").alias("_a"), F.greatest("a_comp", "b_comp").alias("_b")).distinct())
+    groups = groups.drop("_tied")
+    if more.isEmpty():
+        return groups
+    groups = groups.withColumnRenamed("comp", "_a")
+    joined = connected_components(groups.select(*on, "_a").distinct(), more, on, "_a", "_a", "_b")
+    return groups.join(joined, [*on, "_a"]).select(*unique.columns, "comp")
+
+
+def near_groups(boxes: DataFrame, on: list[str], id_col: str, min_px: float = 5.0, rel: float = 0.25, cell: int = CELL_PX) -> DataFrame:
+    """Distinct boxes with the group that near boxes connect them to: on, id, box, copies, comp.
+
+    Boxes of one size level (powers of two of the shorter side) whose corners share a cell of half the level's reach are
+    surely near. The work is linear in the boxes of a crowded frame.
+    """
+    side = min_side(box_cols())
+    level = _level(side)
+    fine = F.greatest(F.lit(float(min_px)), F.when(level >= 0, F.lit(float(rel)) * F.pow(F.lit(2.0), level)).otherwise(F.lit(0.0))) / 2
+    place = lambda c: F.when(fine > 0, F.floor(F.col(c) / fine)).otherwise(F.col(id_col).cast("bigint"))
+    pad = F.greatest(F.lit(float(min_px)), F.lit(float(rel)) * side) / 2 + F.lit(1e-6)
+    near = is_near(box_cols("a_"), box_cols("b_"), min_px, rel)
+    return _linked_groups(distinct_boxes(boxes, on, id_col), on, id_col, [level, place("x1"), place("y1")], near, cell, pad)
+
+
+def iou_groups(boxes: DataFrame, threshold: float, on: list[str], id_col: str, cell: int = CELL_PX) -> DataFrame:
+    """Distinct boxes with the group that IoU >= threshold (> 0) connects them to: on, id, box, copies, comp.
+
+    Boxes of one size level whose edges agree to a share of their width and height, chosen by the threshold, surely have that IoU.
+    """
+    x1, y1, x2, y2 = box_cols()
+    share = (1 - (min(threshold, 1.0) * (1 + 1e-5)) ** 0.5) / 2
+    keys = []
+    for low, high in ((x1, x2), (y1, y2)):
+        level = _level(high - low)
+        step = F.lit(share) * F.pow(F.lit(2.0), level)
+        keys.append(level)
+        keys += [F.when((level >= 0) & F.lit(share > 0), F.floor(e / step)).otherwise(F.col(id_col).cast("bigint")) for e in (low, high)]
+    iou = bbox_iou(box_cols("a_"), box_cols("b_"))
+    linked = (iou >= F.lit(float(threshold)).cast("float")) & (iou > 0)
+    return _linked_groups(distinct_boxes(boxes, on, id_col), on, id_col, keys, linked, cell)
+
+
 def frames_with_cluster(
     boxes: DataFrame, on: list[str], id_col: str, min_px: float = 5.0, rel: float = 0.25
 ) -> DataFrame:

@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlens.functions.geometry import STRIDE_PX, bbox_iou, box_cols, edge_touch, to_board_x
-from boardlens.operators.components import connected_components
 from boardlens.operators.pairs import (
     distinct_boxes,
     frames_with_cluster,
-    iou_pairs,
-    near_pairs,
+    iou_groups,
+    near_groups,
     overlap_pairs,
 )
 from boardlens.operators.ranking import with_next
@@ -119,9 +118,7 @@ def cluster_count(
 ) -> DataFrame:
     """Connected groups of two or more near boxes: on, clusters (groups without one are absent)."""
     on = on or FRAME
-    nodes = distinct_boxes(boxes, on, id_col).select(*on, id_col, "copies")
-    edges = near_pairs(boxes, on, id_col, min_px, rel)
-    comps = connected_components(nodes, edges, on, id_col, "a_" + id_col, "b_" + id_col)
+    comps = near_groups(boxes, on, id_col, min_px, rel)
     sizes = comps.groupBy(*on, "comp").agg(F.sum("copies").alias("n"))
     return sizes.filter("n >= 2").groupBy(*on).agg(F.count(F.lit(1)).alias("clusters"))
 
@@ -134,11 +131,8 @@ def count_instances(
     if iou <= 0:
         return boxes.groupBy(*on).agg(F.count(F.lit(1)).alias("raw"), F.lit(1).cast("bigint").alias("distinct"))
     solid = (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))
-    nodes = distinct_boxes(boxes, on, id_col)
     alone = F.lit(iou > 1) | ~solid  # boxes that match nothing, their own copies included
-    nodes = nodes.select(*on, id_col, "copies", F.when(alone, F.col("copies")).otherwise(1).alias("weight"))
-    edges = iou_pairs(boxes, iou, on, id_col)
-    comps = connected_components(nodes, edges, on, id_col, "a_" + id_col, "b_" + id_col)
+    comps = iou_groups(boxes, iou, on, id_col).withColumn("weight", F.when(alone, F.col("copies")).otherwise(1))
     per_comp = comps.groupBy(*on, "comp").agg(F.sum("copies").alias("copies"), F.max("weight").alias("weight"))
     return per_comp.groupBy(*on).agg(F.sum("copies").alias("raw"), F.sum("weight").cast("bigint").alias("distinct"))
 

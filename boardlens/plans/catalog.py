@@ -134,6 +134,15 @@ def cluster_count(spark: SparkSession, d: str) -> DataFrame:
     return stats.cluster_count(_floats(spark, d))
 
 
+def crowded_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return stats.cluster_count(D.crowd(spark, d))
+
+
+def box_piles(spark: SparkSession, d: str) -> DataFrame:
+    """Equal detections of a board, which the pair queries name by the first of them."""
+    return pairs.pile_members(stats.to_board_boxes(D.detections(spark, d)), ["board"], "det_id")
+
+
 def board_stats(spark: SparkSession, d: str) -> DataFrame:
     return stats.board_stats(D.frames(spark, d), D.label_files(spark, d))
 
@@ -256,6 +265,11 @@ def greedy_match(spark: SparkSession, d: str) -> DataFrame:
     return matching.greedy_match(_pred(spark, d), _gt(spark, d), 0.1)
 
 
+def greedy_match_hot(spark: SparkSession, d: str) -> DataFrame:
+    """One board of evenly spaced equal boxes, where every candidate waits for the one before it."""
+    return matching.greedy_match(D.row_of_boxes(spark, d, 0, "pred_id"), D.row_of_boxes(spark, d, 10, "gt_id"), 0.5)
+
+
 def match_scores(spark: SparkSession, d: str) -> DataFrame:
     """TP, FP and FN per board of raw detections against raw annotations at IoU 0.5."""
     pred, gt = _pred(spark, d), _gt(spark, d)
@@ -424,10 +438,10 @@ def refreshed_boards(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     listed = [
         frame_keys, labels_float, labels_int, labels_strict, label_rejects, seg_label_text, labels_seg, polygon_metrics,
-        letterbox_roundtrip, has_cluster, near_pairs, cluster_count, board_stats, dataset_totals, topk_boards, frame_gaps,
+        letterbox_roundtrip, has_cluster, near_pairs, cluster_count, crowded_clusters, box_piles, board_stats, dataset_totals, topk_boards, frame_gaps,
         board_canvas, mosaic_canvas, edge_touch, annotation_histogram, tier_labels, distinct_instances, cross_frame_dups,
         pseudo_label_quality, stratified_split, largest_remainder, split_totals, split_reasons,
-        split_leaks, partitions_document, staging_join, staging_summary, iou_pairs, match_candidates, greedy_match,
+        split_leaks, partitions_document, staging_join, staging_summary, iou_pairs, match_candidates, greedy_match, greedy_match_hot,
         match_scores, board_set_ops, resume_antijoin, mask_iou_rects, merge_spans, union_area, union_components, stitch_gt,
         stitch_boards, board_documents, eval_boards, eval_aggregate, average_precision, detection_summary,
         average_precision_masks, inspect_frames, mosaic_ownership, overlay_layers, board_mosaic, refreshed_boards,

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardlens.operators.ranking import global_rank
+
 FRAME_W, FRAME_H, STRIDE = 640, 220, 320
 FRAME = ["board", "frame"]
 
@@ -119,6 +121,18 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def crowd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boxes of 64 boards in one frame each: board, frame, ann_id, x1, y1, x2, y2."""
+    return boxes(spark, sf_dir).withColumns({"board": F.floor(F.col("board") / 64).cast("int"), "frame": F.lit(0)})
+
+
+def row_of_boxes(spark: SparkSession, sf_dir: str, shift: int, id_col: str) -> DataFrame:
+    """Equal boxes 20 px apart on one board, one for each object in their order: board, id, x1, y1, x2, y2."""
+    ranked = global_rank(objects(spark, sf_dir).select("obj_id"), [F.col("obj_id")], id_col)
+    left = F.col(id_col) * 20 + shift
+    return ranked.select(F.lit(0).alias("board"), id_col, left.alias("x1"), F.lit(0).alias("y1"), (left + 30).alias("x2"), F.lit(9).alias("y2"))
+
+
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detector output: board, frame, det_id, cls, conf, x1, y1, x2, y2 (some missed, some displaced)."""
     a = F.col("ann_id")

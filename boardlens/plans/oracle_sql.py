@@ -311,6 +311,25 @@ def statements() -> dict[str, str]:
             """SELECT board, frame, count(*) AS clusters FROM (SELECT board, frame, comp FROM fc GROUP BY ALL HAVING sum(copies) >= 2) GROUP BY board, frame""",
             _FLOATS, _FRAME_CLUSTERS, recursive=True,
         ),
+        "crowded_clusters": _q(
+            """SELECT board, 0 AS frame, count(*) AS clusters FROM (
+               SELECT u.board, l.label FROM u JOIN lab l ON l.id = u.ann_id WHERE l.step = 40 GROUP BY ALL HAVING sum(copies) >= 2) GROUP BY board""",
+            """c AS MATERIALIZED (SELECT CAST(board // 64 AS INTEGER) AS board, ann_id, x1, y1, x2, y2 FROM boxes),
+u AS MATERIALIZED (SELECT board, x1, y1, x2, y2, min(ann_id) AS ann_id, count(*) AS copies FROM c GROUP BY ALL)""",
+            f"""e AS MATERIALIZED (SELECT a.ann_id AS s, b.ann_id AS d FROM u a JOIN u b ON a.board = b.board AND a.ann_id <> b.ann_id AND {_near("a", "b")}),
+lab AS (SELECT 0 AS step, ann_id AS id, ann_id AS label FROM u
+  UNION ALL SELECT step + 1, id, min(label) FROM (
+    SELECT step, id, label FROM lab UNION ALL SELECT l.step, e.d, l.label FROM lab l JOIN e ON e.s = l.id) WHERE step < 40 GROUP BY step, id)""",
+            recursive=True,
+        ),
+        "box_piles": _q(
+            """SELECT board, first_id, row_number() OVER (PARTITION BY board, first_id ORDER BY det_id) - 1 AS rank, det_id FROM (
+               SELECT board, det_id, min(det_id) OVER w AS first_id, count(*) OVER w AS n FROM (
+                 SELECT board, det_id, x1 + frame * 320 AS x1, y1, x2 + frame * 320 AS x2, y2 FROM dets) WINDOW w AS (PARTITION BY board, x1, y1, x2, y2)) WHERE n > 1"""
+        ),
+        "greedy_match_hot": _q(
+            """SELECT 0 AS board, id AS pred_id, id AS gt_id, 0.5::FLOAT AS bbox_iou FROM (SELECT row_number() OVER (ORDER BY obj_id) - 1 AS id FROM objects)"""
+        ),
         "board_stats": _q(
             """SELECT board, min(frame) AS first, max(frame) AS last, CAST(count(*) AS INTEGER) AS frames,
                CAST(max(frame) - min(frame) + 1 - count(*) AS INTEGER) AS gaps, max(frame) - min(frame) + 1 AS span, CAST(sum(a) AS BIGINT) AS annots

@@ -224,6 +224,57 @@ def test_greedy_with_crowded_nodes(spark):
     assert {(r.pred_id, r.gt_id) for r in got} == want
 
 
+def crowds(seed):
+    """Piles, dense spots next to each other, long and large boxes, single ones."""
+    rnd = random.Random(seed)
+    rows = []
+    for frame in range(3):
+        for _ in range(90):
+            x, y = rnd.choice([(20, 20), (52, 20), (20, 47), (300, 100), (420, 100)])
+            x, y = x + rnd.random() * 9, y + rnd.random() * 9
+            rows.append((frame, len(rows), x, y, x + rnd.choice([3, 12, 20, 75]), y + rnd.choice([0.5, 11, 17, 60])))
+        rows += [(frame, len(rows) + i, *rows[-1 - i][2:]) for i in range(15)]
+        rows += [(frame, len(rows) + i, x := rnd.random() * 1500, y := rnd.random() * 400, x + 14, y + 12) for i in range(60)]
+    return rows
+
+
+def grouped_by(rows, linked):
+    parent = list(range(len(rows)))
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for i, a in enumerate(rows):
+        for j, b in enumerate(rows[:i]):
+            if a[0] == b[0] and linked(a[2:], b[2:]):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return {(r[0], r[1]): find(i) for i, r in enumerate(rows)}
+
+
+@pytest.mark.parametrize("min_px, rel", [(5.0, 0.25), (0.0, 0.25), (3.0, 0.0), (0.0, 0.0)])
+def test_near_groups_of_crowds(spark, min_px, rel):
+    def near(a, b):
+        gx, gy = max(0, max(a[0], b[0]) - min(a[2], b[2])), max(0, max(a[1], b[1]) - min(a[3], b[3]))
+        return (gx * gx + gy * gy) ** 0.5 <= max(min_px, rel * min(a[2] - a[0], a[3] - a[1], b[2] - b[0], b[3] - b[1]))
+
+    rows = crowds(5)
+    want = grouped_by(rows, near)
+    df = spark.createDataFrame(rows, "frame int, ann_id bigint, x1 double, y1 double, x2 double, y2 double")
+    got = {(r.frame, r.ann_id): r.comp for r in pairs.near_groups(df, ["frame"], "ann_id", min_px, rel).collect()}
+    assert got == {k: want[k] for k in got} and len(got) > 400
+
+
+@pytest.mark.parametrize("t", [0.2, 0.5, 0.8, 1.0])
+def test_iou_groups_of_crowds(spark, t):
+    rows = crowds(6)
+    want = grouped_by(rows, lambda a, b: a == b or iou([np.float32(x) for x in a], [np.float32(x) for x in b]) >= np.float32(t))
+    df = spark.createDataFrame(rows, "frame int, ann_id bigint, x1 double, y1 double, x2 double, y2 double")
+    got = {(r.frame, r.ann_id): r.comp for r in pairs.iou_groups(df, t, ["frame"], "ann_id").collect()}
+    assert got == {k: want[k] for k in got} and len(got) > 400
+
+
 def test_near_pairs_and_clusters(spark):
     rnd = random.Random(8)
     rows = []
