@@ -32,7 +32,8 @@ def token_pieces(documents: DataFrame, tokenizer: str, max_tokens: int = MAX_TOK
 
     cut_up = documents.select("doc_id", pieces(F.col(text_col)).alias("_p"))
     tokens = F.aggregate("_p", F.lit(0).cast("bigint"), lambda n, p: n + F.octet_length(p)) / 4
-    rows = cut_up.select("doc_id", tokens.cast("bigint").alias("doc_tokens"), F.posexplode("_p").alias("_i", "ids"))
+    # outer: a plain explode puts a filter on its input, for which the tokenizer would run a second time; every document has a piece
+    rows = cut_up.select("doc_id", tokens.cast("bigint").alias("doc_tokens"), F.posexplode_outer("_p").alias("_i", "ids"))
     return rows.select(
         "doc_id", (F.col("_i").cast("bigint") * max_tokens).alias("start"), (F.octet_length("ids") / 4).cast("bigint").alias("length"),
         "doc_tokens", "ids",

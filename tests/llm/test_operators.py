@@ -118,6 +118,11 @@ def test_packing_is_gapless_and_whole(spark, docs):
     assert len(places) <= -(-sum(map(len, ids.values())) // packing.MAX_TOKENS) * 1.05 + 1
 
 
+def test_texts_meet_the_tokenizer_once(spark):
+    plan = packing.token_pieces(read_table(spark, SF, "documents"), queries.tokenizer_path())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 @pytest.mark.parametrize("values", [[0], [0] * 500, [1, 2, 3] * 99, [2**29] * 7, [2**30, 5, 2**31, 0] * 40, list(range(40000))])
 def test_simple8b_round_trip(values):
     ids = np.array(values, np.uint64)
