@@ -32,7 +32,7 @@ class QualityModel:
     phases: np.ndarray
     directions: np.ndarray
     weights: np.ndarray
-    knots: np.ndarray
+    points: np.ndarray
     levels: np.ndarray
 
     def features(self, stats: np.ndarray) -> np.ndarray:
@@ -44,7 +44,7 @@ class QualityModel:
         return self.features(stats) @ self.weights
 
     def score(self, stats: np.ndarray) -> np.ndarray:
-        return np.interp(self.raw(stats), self.knots, self.levels)
+        return np.interp(self.raw(stats), self.points, self.levels)
 
 
 def isotonic(mean: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -81,7 +81,7 @@ def fit_quality(stats: DataFrame, labels: DataFrame, label: str = "quality") ->
     model = QualityModel(
         mean=first[0::2], scale=np.maximum(first[1::2], 1e-6), phases=rng.uniform(0, 2 * np.pi, DIMENSIONS),
         directions=rng.normal(0, 1 / WIDTH, (k, DIMENSIONS)), weights=np.zeros(DIMENSIONS + 1),
-        knots=np.array([-1.0, 2.0]), levels=np.array([0.5, 0.5]),
+        points=np.array([-1.0, 2.0]), levels=np.array([0.5, 0.5]),
     )
     d = DIMENSIONS + 1
 
@@ -108,7 +108,7 @@ def fit_quality(stats: DataFrame, labels: DataFrame, label: str = "quality") ->
     bins = rows.filter("calibrates").select(bin_of("stats").alias("bin"), "label")
     held = sorted(bins.groupBy("bin").agg(F.avg("label").alias("mean"), F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r.bin)
     if held:
-        model.knots = np.array([(r.bin + 0.5) / BINS * 3 - 1 for r in held])
+        model.points = np.array([(r.bin + 0.5) / BINS * 3 - 1 for r in held])
         model.levels = isotonic(np.array([r["mean"] for r in held]), np.array([r.n for r in held]))
     return model
 
