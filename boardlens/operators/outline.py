@@ -7,11 +7,6 @@ from __future__ import annotations
 
 import numpy as np
 
-# Steps to the eight neighbours, clockwise on screen from east.
-_STEP_X = (1, 1, 0, -1, -1, -1, 0, 1)
-_STEP_Y = (0, 1, 1, 1, 0, -1, -1, -1)
-
-
 Spans = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -131,84 +126,46 @@ def mask_ious(ax: list[np.ndarray], ay: list[np.ndarray], bx: list[np.ndarray],
     return ratio.astype(np.float32)
 
 
-def spans_to_mask(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """Mask with a one-pixel empty margin, and the offset of its first inner pixel."""
-    top, left = int(y.min()), int(a.min())
-    delta = np.zeros((int(y.max()) - top + 3, int(b.max()) - left + 4), dtype=np.int8)
-    np.add.at(delta, (y - top + 1, a - left + 1), 1)
-    np.add.at(delta, (y - top + 1, b - left + 2), -1)
-    return np.cumsum(delta, axis=1)[:, :-1] > 0, left, top
-
-
-def trace_border(mask: np.ndarray) -> np.ndarray:
-    """Outer border pixels (x, y), clockwise from the topmost-leftmost pixel of one region."""
-    width = mask.shape[1]
-    cells = mask.astype(np.uint8).tobytes()
-    offset = [dy * width + dx for dx, dy in zip(_STEP_X, _STEP_Y)]
-    start = cells.index(1)
-    chain = [start]
-    here, heading, first = start, 0, -1
-    while True:
-        for turn in range(6, 14):
-            d = (heading + turn) & 7
-            if cells[here + offset[d]]:
-                break
-        else:
-            break
-        if here == start and d == first:
-            chain.pop()
-            break
-        if first < 0:
-            first = d
-        here, heading = here + offset[d], d
-        chain.append(here)
-    flat = np.array(chain, dtype=np.int64)
-    return np.column_stack([flat % width, flat // width])
-
-
-def _farthest(ring: list[tuple[int, int]], x: int, y: int) -> int:
-    return max(range(len(ring)), key=lambda i: (ring[i][0] - x) ** 2 + (ring[i][1] - y) ** 2)
+def _farthest(ring: np.ndarray, x: int, y: int) -> int:
+    return int(((ring[:, 0] - x) ** 2 + (ring[:, 1] - y) ** 2).argmax())
 
 
 def simplify_closed(points: list[tuple[int, int]], eps: float) -> list[tuple[int, int]]:
-    """Douglas-Peucker on a closed ring, split at two far points."""
+    """Douglas-Peucker on a closed ring, split at two far points; all open segments of a level are measured at once."""
     n = len(points)
     if n < 3:
         return points
-    a = _farthest(points, *points[0])
-    b = _farthest(points, *points[a])
+    own = np.array(points, np.int64)
+    a = _farthest(own, *points[0])
+    b = _farthest(own, *points[a])
     if points[a] == points[b]:
         return points[:1]
     first, second = min(a, b), max(a, b)
-    ring = points + points
+    ring = np.concatenate([own, own])
     keep = {first, second}
-    stack = [(first, second), (second, first + n)]
-    while stack:
-        i, j = stack.pop()
-        if j - i < 2:
-            continue
-        (x0, y0), (x1, y1) = ring[i], ring[j]
-        dx, dy = x1 - x0, y1 - y0
-        far, best = i, -1
-        if dx or dy:
-            for k in range(i + 1, j):
-                x, y = ring[k]
-                off = abs((x - x0) * dy - (y - y0) * dx)
-                if off > best:
-                    far, best = k, off
-            over = best * best > eps * eps * (dx * dx + dy * dy)
-        else:
-            for k in range(i + 1, j):
-                x, y = ring[k]
-                off = (x - x0) ** 2 + (y - y0) ** 2
-                if off > best:
-                    far, best = k, off
-            over = best > eps * eps
-        if over:
-            keep.add(far % n)
-            stack.append((i, far))
-            stack.append((far, j))
-    return [points[k] for k in sorted(keep)]
+    i, j = np.array([first, second]), np.array([second, first + n])
+    while True:
+        open_ = j - i >= 2
+        i, j = i[open_], j[open_]
+        if not len(i):
+            return [points[k] for k in sorted(keep)]
+        sizes = j - i - 1
+        begins = np.cumsum(sizes) - sizes
+        segment, at = _counter(sizes)
+        at = at + i[segment] + 1
+        (x0, y0), (dx, dy) = ring[i].T, (ring[j] - ring[i]).T
+        x, y = (ring[at] - ring[i][segment]).T
+        flat = (dx == 0) & (dy == 0)
+        off = np.where(flat[segment], x * x + y * y, np.abs(x * dy[segment] - y * dx[segment]))
+        best = np.maximum.reduceat(off, begins)
+        far = np.minimum.reduceat(np.where(off == best[segment], at, len(ring)), begins)
+        over = np.array([
+            m > eps * eps if f else m * m > eps * eps * (u * u + v * v)  # exact integers
+            for m, f, u, v in zip(best.tolist(), flat.tolist(), dx.tolist(), dy.tolist())
+        ])
+        i, j, far = i[over], j[over], far[over]
+        keep.update((far % n).tolist())
+        i, j = np.concatenate([i, far]), np.concatenate([far, j])
 
 
 def row_ring(y: list[int], a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -232,36 +189,79 @@ def row_ring(y: list[int], a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return ring[:1] + [pt for pt, prev in zip(ring[1:], ring) if pt not in (prev, ring[0])]
 
 
-def region_ring(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[int, int]], bool]:
-    """Outer border of one region given by sorted runs, and whether it may enclose a hole."""
-    rows = y.tolist()
-    if rows[-1] - rows[0] + 1 == len(rows):
-        return row_ring(rows, a.tolist(), b.tolist()), False
-    mask, left, top = spans_to_mask(y, a, b)
-    ring = (trace_border(mask) + (left - 1, top - 1)).tolist()
-    return [tuple(p) for p in ring], has_hole(y, a, b)
-
-
-def ring_area(points: list[tuple[int, int]]) -> float:
-    return abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(points, points[1:] + points[:1]))) / 2
-
+def linked_ends(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The end of a run that follows each end clockwise along the borders of sorted disjoint runs.
 
-def run_links(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of row-sorted disjoint runs that touch (8-neighbourhood) in adjacent rows."""
+    Ends are numbered 2 i for the left and 2 i + 1 for the right end of run i. Borders run down right ends and up left ends; where a run
+    below reaches on to a further run of the same row, the border turns up at that one, and likewise above. A border that
+    ends on a last row turns back at the same run. The links are a permutation; each of its cycles is an outer border or a hole's.
+    """
+    n = len(y)
     wide = int(b.max()) - int(a.min()) + 8
     base = int(a.min()) - 4
-    start, end = y * wide + (a - base), y * wide + (b - base)
-    lo = np.searchsorted(end, start + wide - 1, side="left")
-    hi = np.searchsorted(start, end + wide + 1, side="right")
-    count = np.maximum(hi - lo, 0)
-    src = np.repeat(np.arange(len(y)), count)
-    dst = np.repeat(lo, count) + np.arange(len(src)) - np.repeat(np.cumsum(count) - count, count)
-    return src, dst
-
-
-def has_hole(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> bool:
-    """A connected run graph has one independent cycle per hole."""
-    return len(run_links(y, a, b)[0]) - len(y) + 1 > 0
+    row = (y - int(y.min())).astype(np.int64) * wide
+    start, end = row + (a - base), row + (b - base)
+    at = np.arange(n)
+    low = np.searchsorted(start, end + wide + 1, side="right") - 1  # the last run below that may touch
+    touches_low = (low >= 0) & (end[low] >= start + wide - 1) & (start[low] <= end + wide + 1) & (low > at)
+    high = np.searchsorted(end, start - wide - 1, side="left")  # the first run above that may touch
+    known = np.minimum(high, n - 1)
+    touches_high = (high < at) & (start[known] <= end - wide + 1) & (end[known] >= start - wide - 1)
+    after = np.minimum(at + 1, n - 1)
+    turns_up = touches_low & (at + 1 < n) & (y[after] == y) & (start[after] + wide - 1 <= end[low])
+    before = np.maximum(at - 1, 0)
+    turns_down = touches_high & (at > 0) & (y[before] == y) & (end[before] - wide + 1 >= start[known])
+    links = np.empty(2 * n, np.int64)
+    links[1::2] = np.where(turns_up, 2 * after, np.where(touches_low, 2 * low + 1, 2 * at))
+    links[0::2] = np.where(turns_down, 2 * before + 1, np.where(touches_high, 2 * known, 2 * at + 1))
+    return links
+
+
+def region_ring(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
+    """Outer border of one region given by sorted runs, corner pixels only, and its holes as flat y, first x, last x triples.
+
+    The border is the cycle of run ends through the first run; memory follows the runs, not the pixels. A gap
+    between two runs of a row belongs to a hole if the run end before it lies on another cycle.
+    """
+    rows = y.tolist()
+    if rows[-1] - rows[0] + 1 == len(rows):
+        return row_ring(rows, a.tolist(), b.tolist()), []
+    links = linked_ends(y, a, b)
+    follow, left, right = links.tolist(), a.tolist(), b.tolist()
+    outer = np.zeros(len(links), bool)
+    ring, end = [(left[0], rows[0])], 1
+    while True:
+        outer[end] = True
+        i, following = end >> 1, follow[end]
+        k = following >> 1
+        if end & 1:
+            ring.append((right[i], rows[i]))
+            if following & 1:  # down to the right end of a run below
+                p, q = right[i], right[k]
+                if q > p + 1:
+                    ring.append((p + 1, rows[k]))
+                elif q < p - 1:
+                    ring.append((q + 1, rows[i]))
+            elif k != i:  # along the top of a run below, up to the next run of this row
+                ring += [(right[i] + 1, rows[i] + 1), (left[k] - 1, rows[i] + 1)]
+        else:
+            ring.append((left[i], rows[i]))
+            if not following & 1:  # up to the left end of a run above
+                p, q = left[i], left[k]
+                if q < p - 1:
+                    ring.append((p - 1, rows[k]))
+                elif q > p + 1:
+                    ring.append((q - 1, rows[i]))
+            elif k != i:  # along the bottom of a run above, down to the run before in this row
+                ring += [(left[i] - 1, rows[i] - 1), (right[k] + 1, rows[i] - 1)]
+        end = following
+        if end == 1:
+            break
+    gap = np.flatnonzero((y[1:] == y[:-1]) & ~outer[1:-1:2])
+    holes = np.column_stack([y[gap], b[gap] + 1, a[gap + 1] - 1]).ravel().tolist()
+    if ring[-1] == ring[0]:
+        ring.pop()
+    return ring[:1] + [p for p, before in zip(ring[1:], ring) if p != before], holes
 
 
 def point_inside(x: float, y: float, px: np.ndarray, py: np.ndarray) -> bool:
@@ -272,26 +272,3 @@ def point_inside(x: float, y: float, px: np.ndarray, py: np.ndarray) -> bool:
         return False
     px, py, qx, qy = px[spans], py[spans], qx[spans], qy[spans]
     return bool(((px + (y - py) * (qx - px) / (qy - py)) > x).sum() % 2)
-
-
-def largest_region_polygon(mask: np.ndarray, eps: float, min_area: float) -> list[tuple[int, int]] | None:
-    """Simplified outline of the region with the largest outline area, or None."""
-    from boardlens.operators.components import smallest_reachable
-
-    edges = np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1)
-    y, a = np.nonzero(edges == 1)
-    b = np.nonzero(edges == -1)[1] - 1
-    if len(y) == 0:
-        return None
-    label = smallest_reachable(len(y), *run_links(y, a, b))
-    best, best_area = None, -1.0
-    for comp in np.unique(label):
-        own = label == comp
-        ring, _ = region_ring(y[own], a[own], b[own])
-        area = ring_area(ring)
-        if area > best_area:
-            best, best_area = ring, area
-    if best_area < min_area:
-        return None
-    outline = simplify_closed(best, eps)
-    return outline if len(outline) >= 3 else None

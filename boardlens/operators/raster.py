@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from boardlens.operators import outline
 from boardlens.operators.components import connected_components
 from boardlens.operators.lineage import cut
-from boardlens.operators.pairs import overlap_pairs
 
 CHUNK_PX = 1024
 INTS = T.ArrayType(T.IntegerType())
@@ -43,39 +42,51 @@ def _triples(flat: Column) -> Column:
 
 
 def rasterize(polys: DataFrame, polygon: str = "polygon") -> DataFrame:
-    """One row per scan-line span of each polygon; other columns are kept."""
+    """One row per scan-line span of each polygon, with ``piece``, the id of the polygon's first pixel; other columns are kept."""
     xs, ys = vertex_arrays(polygon)
-    lines = polys.withColumn("_flat", _scan_lines(xs, ys)).withColumn("_span", F.explode(_triples(F.col("_flat"))))
-    return lines.select(*[c for c in polys.columns if c != polygon], "_span.*")
+    spans = polys.withColumn("_flat", _scan_lines(xs, ys)).withColumn("_spans", _triples(F.col("_flat")))
+    first = F.col("_spans")[0]
+    lines = spans.withColumn("piece", run_id(first["y"], first["xs"])).withColumn("_span", F.explode_outer("_spans")).filter("_span is not null")
+    return lines.select(*[c for c in polys.columns if c != polygon], "piece", "_span.*")
 
 
 def rasterize_boxes(boxes: DataFrame) -> DataFrame:
-    """Spans of axis-parallel rectangles, corner pixels included; no Python involved."""
+    """Spans of axis-parallel rectangles, corner pixels included, with ``piece``; no Python involved."""
     keep = [c for c in boxes.columns if c not in ("x1", "y1", "x2", "y2")]
-    return boxes.select(*keep, F.explode(F.sequence("y1", "y2")).alias("y"), F.col("x1").alias("xs"), F.col("x2").alias("xe"))
+    rows = F.explode(F.sequence("y1", "y2")).alias("y")
+    return boxes.select(*keep, run_id("y1", "x1").alias("piece"), rows, F.col("x1").alias("xs"), F.col("x2").alias("xe"))
 
 
 def clip_spans(spans: DataFrame, x1: Column, y1: Column, x2: Column, y2: Column) -> DataFrame:
-    """Cut spans to the inclusive window and drop what falls outside."""
+    """Cut spans to the inclusive window and drop what falls outside.
+
+    A shape may fall apart, so what is left of each span is a piece of its own.
+    """
     return (
         spans.filter((F.col("y") >= y1) & (F.col("y") <= y2))
         .withColumns({"xs": F.greatest("xs", x1), "xe": F.least("xe", x2)})
         .filter("xs <= xe")
+        .withColumn("piece", run_id("y", "xs"))
     )
 
 
 def merge_spans(spans: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFrame:
-    """Disjoint runs per group and row, cut at multiples of ``chunk``: on, chunk, y, xs, xe."""
+    """Disjoint runs per group and row, cut at multiples of ``chunk``: on, chunk, y, xs, xe.
+
+    With a column ``piece`` (the same for spans that are parts of one connected shape) runs carry the smallest piece in them.
+    """
     c = F.col("chunk")
+    low = [F.min("piece").alias("piece")] if "piece" in spans.columns else []
+    held = ["piece"] if low else []
     pieces = (
-        spans.select(*on, "y", "xs", "xe", F.explode(F.sequence(F.floor(F.col("xs") / chunk), F.floor(F.col("xe") / chunk))).alias("chunk"))
+        spans.select(*on, *held, "y", "xs", "xe", F.explode(F.sequence(F.floor(F.col("xs") / chunk), F.floor(F.col("xe") / chunk))).alias("chunk"))
         .select(
-            *on, "chunk", F.col("y").cast("int").alias("y"),
+            *on, *held, "chunk", F.col("y").cast("int").alias("y"),
             F.greatest(F.col("xs"), c * chunk).cast("int").alias("xs"),
             F.least(F.col("xe"), c * chunk + (chunk - 1)).cast("int").alias("xe"),
         )
         .groupBy(*on, "chunk", "y", "xs")
-        .agg(F.max("xe").alias("xe"))
+        .agg(F.max("xe").alias("xe"), *low)
     )
     by_start = Window.partitionBy(*on, "chunk", "y").orderBy("xs")
     reach = F.max("xe").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
@@ -83,8 +94,8 @@ def merge_spans(spans: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataF
     islands = islands.withColumn("_island", F.sum("_new").over(by_start))
     return (
         islands.groupBy(*on, "chunk", "y", "_island")
-        .agg(F.min("xs").alias("xs"), F.max("xe").alias("xe"))
-        .select(*on, "chunk", "y", "xs", "xe")
+        .agg(F.min("xs").alias("xs"), F.max("xe").alias("xe"), *low)
+        .select(*on, "chunk", "y", "xs", "xe", *held)
     )
 
 
@@ -106,24 +117,25 @@ def run_id(y: Column | str, xs: Column | str) -> Column:
     return y.cast("bigint") * _ROW + xs.cast("bigint")
 
 
-def run_edges(runs: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFrame:
-    """Links of runs that touch, diagonals included: on, a_id, b_id.
+def piece_links(runs: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFrame:
+    """Pieces of runs that touch, diagonals included: on, a_piece, b_piece, each pair once.
 
-    Runs of a row are disjoint, so there are at most as many links as runs in two rows.
+    Runs of a row are disjoint, so no more than about two rows' worth of runs meet for a row; most of these
+    belong to one piece and are gone before the links are shuffled.
     """
-    a = runs.select(*on, "chunk", (F.col("y") + 1).alias("y"), F.col("xs").alias("a_xs"), F.col("xe").alias("a_xe"))
-    b = runs.select(*on, "chunk", "y", F.col("xs").alias("b_xs"), F.col("xe").alias("b_xe"))
-    below = a.join(b, [*on, "chunk", "y"]).filter("a_xs <= b_xe + 1 and b_xs <= a_xe + 1")
-    below = below.select(*on, run_id(F.col("y") - 1, "a_xs").alias("a_id"), run_id("y", "b_xs").alias("b_id"))
+    a = runs.select(*on, "chunk", (F.col("y") + 1).alias("y"), F.col("xs").alias("a_xs"), F.col("xe").alias("a_xe"), F.col("piece").alias("a_piece"))
+    b = runs.select(*on, "chunk", "y", F.col("xs").alias("b_xs"), F.col("xe").alias("b_xe"), F.col("piece").alias("b_piece"))
+    below = a.join(b, [*on, "chunk", "y"]).filter("a_piece <> b_piece and a_xs <= b_xe + 1 and b_xs <= a_xe + 1")
     ends = runs.filter(F.col("xe") % chunk == chunk - 1).select(
         *on, F.explode(F.array(F.col("y") - 1, F.col("y"), F.col("y") + 1)).alias("_y"),
-        (F.col("xe") + 1).alias("_x"), run_id("y", "xs").alias("a_id"),
+        (F.col("xe") + 1).alias("_x"), F.col("piece").alias("a_piece"),
     )
     starts = runs.filter(F.col("xs") % chunk == 0).select(
-        *on, F.col("y").alias("_y"), F.col("xs").alias("_x"), run_id("y", "xs").alias("b_id")
+        *on, F.col("y").alias("_y"), F.col("xs").alias("_x"), F.col("piece").alias("b_piece")
     )
-    across = ends.join(starts, [*on, "_y", "_x"]).select(*on, "a_id", "b_id")
-    return below.unionByName(across)
+    across = ends.join(starts, [*on, "_y", "_x"]).filter("a_piece <> b_piece")
+    both = below.select(*on, "a_piece", "b_piece").unionByName(across.select(*on, "a_piece", "b_piece"))
+    return both.select(*on, F.least("a_piece", "b_piece").alias("a_piece"), F.greatest("a_piece", "b_piece").alias("b_piece")).distinct()
 
 
 def union_components(spans: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFrame:
@@ -131,12 +143,19 @@ def union_components(spans: DataFrame, on: list[str], chunk: int = CHUNK_PX) ->
 
     Returns runs with their region: on, y, xs, xe, comp. ``comp`` is the id of the region's first
     run in reading order, so it also orders regions by (top, left).
+
+    The graph is one of shapes, not of runs: a merged run stands for the smallest ``piece`` drawn in it (spans without that column
+    are pieces of their own), runs of one piece are connected, and links join different pieces only. The runs get their
+    labels back by piece.
     """
+    if "piece" not in spans.columns:
+        spans = spans.withColumn("piece", run_id("y", "xs"))
     runs = cut(merge_spans(spans, on, chunk))
-    nodes = runs.select(*on, run_id("y", "xs").alias("id"), "xe")
-    comps = connected_components(nodes, run_edges(runs, on, chunk), on, "id", "a_id", "b_id")
-    y = F.shiftright("id", 32)
-    return comps.select(*on, y.cast("int").alias("y"), (F.col("id") - y * _ROW).cast("int").alias("xs"), "xe", "comp")
+    pieces = runs.groupBy(*on, "piece").agg(F.min(run_id("y", "xs")).alias("_first"))
+    grouped = cut(connected_components(pieces, piece_links(runs, on, chunk), on, "piece", "a_piece", "b_piece").withColumnRenamed("comp", "_group"))
+    regions = grouped.groupBy(*on, "_group").agg(F.min("_first").alias("comp"))
+    labels = grouped.join(regions, [*on, "_group"]).select(*on, "piece", "comp")
+    return runs.join(labels, [*on, "piece"]).select(*on, "y", "xs", "xe", "comp")
 
 
 def region_stats(regions: DataFrame, on: list[str]) -> DataFrame:
@@ -156,14 +175,14 @@ def union_area(spans: DataFrame, on: list[str], chunk: int = CHUNK_PX) -> DataFr
 
 
 def _outline_fn(eps: float):
-    @F.pandas_udf(T.StructType([T.StructField("polygon", INTS), T.StructField("ring", INTS)]))
+    @F.pandas_udf(T.StructType([T.StructField("polygon", INTS), T.StructField("holes", INTS)]))
     def fn(ys: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
-        polygons, rings = [], []
+        polygons, holes = [], []
         for y, a, b in zip(ys, starts, ends):
-            ring, hollow = outline.region_ring(*outline.merge_rows(y, a, b))
+            ring, inner = outline.region_ring(*outline.merge_rows(y, a, b))
             polygons.append([v for point in outline.simplify_closed(ring, eps) for v in point])
-            rings.append([v for point in ring for v in point] if hollow else [])
-        return pd.DataFrame({"polygon": polygons, "ring": rings})
+            holes.append(inner)
+        return pd.DataFrame({"polygon": polygons, "holes": holes})
 
     return fn
 
@@ -176,23 +195,18 @@ def _points(flat: Column) -> Column:
     )).otherwise(F.array().cast("array<struct<x:int,y:int>>"))
 
 
-@F.pandas_udf(T.BooleanType())
-def _inside(x: pd.Series, y: pd.Series, ring: pd.Series) -> pd.Series:
-    return pd.Series([outline.point_inside(float(u), float(v), r[0::2], r[1::2]) for u, v, r in zip(x, y, ring)])
-
-
 def trace_regions(regions: DataFrame, on: list[str], eps: float = 1.0) -> DataFrame:
     """Outer polygons of regions: on, comp, area, x1, y1, x2, y2, polygon.
 
     A region's merged runs are gathered into one row, as its polygon will be; plain rectangles
     need only their corners and skip Python. Regions inside a hole of another one are dropped, as
-    are outlines of fewer than three points.
+    are outlines of fewer than three points. Holes are background runs, and a region lies in one if its
+    first pixel does, which an equality join on row and chunk finds.
     """
     runs = F.struct("y", "xs", "xe")
     shapes = regions.groupBy(*on, "comp").agg(
         F.sum(F.col("xe") - F.col("xs") + 1).cast("bigint").alias("area"),
         F.min("xs").alias("x1"), F.min("y").alias("y1"), F.max("xe").alias("x2"), F.max("y").alias("y2"),
-        F.min(runs).alias("_first"),
         F.collect_list(runs).alias("_runs"),
     )
     w, h = F.col("x2") - F.col("x1") + 1, F.col("y2") - F.col("y1") + 1
@@ -200,45 +214,22 @@ def trace_regions(regions: DataFrame, on: list[str], eps: float = 1.0) -> DataFr
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     corners = F.array(corner("x1", "y1"), corner("x2", "y1"), corner("x2", "y2"), corner("x1", "y2"))
     empty = F.array().cast("array<int>")
-    plain = shapes.filter(full & (w > 1) & (h > 1)).withColumns({"polygon": corners, "ring": empty}).drop("_runs")
+    shapes = cut(shapes)
+    plain = shapes.filter(full & (w > 1) & (h > 1)).withColumns({"polygon": corners, "holes": empty}).drop("_runs")
     part = lambda k: F.transform("_runs", lambda r: r[k])
     odd = shapes.filter(~full).withColumn("_o", _outline_fn(eps)(part("y"), part("xs"), part("xe")))
-    odd = odd.withColumns({"polygon": _points(F.col("_o.polygon")), "ring": F.col("_o.ring")}).drop("_o", "_runs")
-    traced = cut(plain.unionByName(odd).filter(F.size("polygon") >= 3))
-    out = [*on, "comp", "area", "x1", "y1", "x2", "y2", "polygon"]
-    hollow = traced.filter(F.size("ring") > 0).select(*on, "comp", "x1", "y1", "x2", "y2", "ring")
-    if hollow.isEmpty():
-        return traced.select(*out)
-    small = traced.select(
-        *on, "comp", F.col("_first.xs").alias("x1"), F.col("y1"), F.col("_first.xs").alias("x2"), F.col("y1").alias("y2")
-    )
-    within = (F.col("a_comp") != F.col("b_comp")) & (F.col("a_x1") > F.col("b_x1")) & (F.col("a_x1") < F.col("b_x2")) & (F.col("a_y1") > F.col("b_y1"))
-    enclosed = (
-        overlap_pairs(small, hollow, on, cell=CHUNK_PX, keep=within)
-        .filter(_inside("a_x1", "a_y1", "b_ring"))
-        .select(*on, F.col("a_comp").alias("comp"))
-        .distinct()
-    )
-    return traced.join(enclosed, [*on, "comp"], "left_anti").select(*out)
-
-
-def _mask_polygon_fn(eps: float, min_area: float):
-    @F.pandas_udf(INTS)
-    def fn(bits: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
-        out = []
-        for raw, width, height in zip(bits, w, h):
-            mask = np.frombuffer(raw, dtype=np.uint8).reshape(height, width) > 0
-            ring = outline.largest_region_polygon(mask, eps, min_area)
-            out.append(None if ring is None else [v for point in ring for v in point])
-        return pd.Series(out)
-
-    return fn
-
-
-def mask_polygon(mask: Column, w: Column, h: Column, eps: float = 1.0, min_area: float = 4.0) -> Column:
-    """Largest region of a row-major byte mask as a polygon, null when too small."""
-    flat = _mask_polygon_fn(eps, min_area)(mask, w, h)
-    return F.when(flat.isNotNull(), _points(flat))
+    odd = odd.withColumns({"polygon": _points(F.col("_o.polygon")), "holes": F.col("_o.holes")}).drop("_o", "_runs")
+    traced = cut(plain.unionByName(odd))
+    kept = traced.filter(F.size("polygon") >= 3).select(*on, "comp", "area", "x1", "y1", "x2", "y2", "polygon")
+    gaps = traced.filter(F.size("holes") > 0).select(*on, F.explode_outer(_triples(F.col("holes"))).alias("_gap")).select(*on, "_gap.*")
+    if gaps.isEmpty():
+        return kept
+    cell = lambda x: F.floor(x / CHUNK_PX)
+    gaps = gaps.withColumn("_cx", F.explode_outer(F.sequence(cell(F.col("xs")), cell(F.col("xe")))))
+    y = F.shiftright("comp", 32)  # comp is the id of the first pixel
+    heads = kept.select(*on, "comp", y.cast("int").alias("y"), (F.col("comp") - y * _ROW).alias("_x")).withColumn("_cx", cell(F.col("_x")))
+    enclosed = heads.join(gaps, [*on, "y", "_cx"]).filter("_x between xs and xe").select(*on, "comp").distinct()
+    return kept.join(enclosed, [*on, "comp"], "left_anti")
 
 
 @F.pandas_udf(T.FloatType())

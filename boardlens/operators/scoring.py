@@ -1,24 +1,15 @@
-"""Counters and boards of scored frames, and polygon labelling of boxes by a given mask function."""
+"""Counters and boards of scored frames."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlens.functions.geometry import STRIDE_PX
-from boardlens.operators import outline
-from boardlens.operators.pixels import bgr_array
 from boardlens.operators.stitching import Stitched, stitch_boards
 
 FRAME = ["board", "frame"]
 
-MIN_AREA = 4.0
-
-# -- tables of frames ----------------------------------------------------------------------
 
 
 def _expand(scored: DataFrame) -> DataFrame:
@@ -41,63 +32,3 @@ def run_boards(scored: DataFrame, stride: int = STRIDE_PX, eps: float = 1.0) ->
     """Merged board polygons of scored (or cached) frames: frames with status processed count."""
     done = scored.filter("status = 'processed'") if "status" in scored.columns else scored
     return stitch_boards(_expand(done), done.select(*FRAME, "img_w", "img_h"), stride, eps)
-
-
-# -- polygon labelling ------------------------------------------------------------------------
-
-MaskFn = Callable[[np.ndarray, tuple[int, int, int, int], tuple[int, int]], np.ndarray]
-BOXES_PER_ROW = 256
-
-
-def _box_chunks(boxes: DataFrame) -> DataFrame:
-    """Boxes of a frame in arrays of about BOXES_PER_ROW, so one busy frame is many rows."""
-    sizes = boxes.groupBy(*FRAME).agg(F.ceil(F.count(F.lit(1)) / BOXES_PER_ROW).alias("_k"))
-    spread = boxes.join(sizes, FRAME).withColumn("_chunk", F.pmod(F.xxhash64("line_no"), F.col("_k")))
-    each = F.struct(F.col("line_no").cast("bigint").alias("line_no"), "cls", "x1", "y1", "x2", "y2")
-    return spread.groupBy(*FRAME, "_chunk").agg(F.collect_list(each).alias("_boxes")).drop("_chunk")
-
-
-def pseudo_label(frames: DataFrame, boxes: DataFrame, mask_fn: MaskFn, eps: float = 1.0, min_area: float = MIN_AREA) -> DataFrame:
-    """A polygon for every box: the largest region of ``mask_fn(image, box, centre)`` inside the box.
-
-    board, frame, line_no, cls, img_w, img_h, polygon, fallback. Boxes whose mask is empty or too
-    small keep their rectangle and are flagged.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for board, frame, w, h, channels, raw, listed in pdf.itertuples(index=False):
-                image = bgr_array(raw, h, w, channels)
-                for b in listed:
-                    x1, y1, x2, y2 = b["x1"], b["y1"], b["x2"], b["y2"]
-                    mask = np.zeros((h, w), dtype=bool)
-                    part = np.s_[max(0, y1) : min(h, y2), max(0, x1) : min(w, x2)]
-                    mask[part] = mask_fn(image, (x1, y1, x2, y2), ((x1 + x2) // 2, (y1 + y2) // 2))[part]
-                    ring = outline.largest_region_polygon(mask, eps, min_area)
-                    shape = [(x1, y1), (x2, y1), (x2, y2), (x1, y2)] if ring is None else ring
-                    polygon = [{"x": int(x), "y": int(y)} for x, y in shape]
-                    rows.append((board, frame, b["line_no"], b["cls"], w, h, polygon, ring is None))
-            yield pd.DataFrame(rows, columns=["board", "frame", "line_no", "cls", "img_w", "img_h", "polygon", "fallback"])
-
-    work = frames.select(*FRAME, "img_w", "img_h", "channels", "pixels").join(_box_chunks(boxes), FRAME)
-    return work.mapInPandas(
-        run,
-        "board int, frame int, line_no bigint, cls int, img_w int, img_h int, polygon array<struct<x:int,y:int>>, fallback boolean",
-    )
-
-
-def label_status(frames: DataFrame, label_files: DataFrame, boxes: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """board, frame, status (processed, empty, skipped, unreadable), raw_lines, boxes for the run report."""
-    per_frame = boxes.groupBy(*FRAME).agg(F.count(F.lit(1)).alias("boxes"))
-    done = (existing if existing is not None else frames.limit(0)).select(*FRAME).distinct().withColumn("_done", F.lit(True))
-    readable = F.col("ok") if "ok" in frames.columns else F.lit(True)
-    status = (
-        F.when(F.col("_done"), "skipped").when(~F.col("_ok"), "unreadable").when(F.col("boxes") > 0, "processed").otherwise("empty")
-    )
-    return (
-        frames.select(*FRAME, readable.alias("_ok"))
-        .join(label_files.select(*FRAME, F.col("annots").alias("raw_lines")), FRAME, "left")
-        .join(per_frame, FRAME, "left").join(done, FRAME, "left").fillna(0, ["raw_lines", "boxes"])
-        .select(*FRAME, status.alias("status"), "raw_lines", "boxes")
-    )

@@ -316,10 +316,22 @@ def union_components(spark: SparkSession, d: str) -> DataFrame:
     return raster.region_stats(regions, ["board"])
 
 
+def ring_islands(spark: SparkSession, d: str) -> DataFrame:
+    """Merged polygons of rings with islands: what a closed ring encloses is dropped."""
+    boxes = D.ringed_boxes(spark, d)
+    dims = boxes.select("board").distinct().select("board", F.lit(0).alias("frame"), F.lit(80 * 200).alias("img_w"), F.lit(D.FRAME_H).alias("img_h"))
+    return stitching.stitch_boxes(boxes, dims).polygons.withColumn("vertices", F.size("polygon")).drop("polygon")
+
+
+def _labelled_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Frames with an image and a label file, which ground truth is made of."""
+    return joins.keep_frames(D.frames(spark, d), D.label_files(spark, d))
+
+
 def stitch_gt(spark: SparkSession, d: str) -> DataFrame:
     """Merged ground-truth polygons from the strict label parser."""
     parsed = labels_strict(spark, d).withColumnRenamed("line_no", "ann_id")
-    return stitching.stitch_gt(parsed, D.frames(spark, d)).polygons.drop("polygon")
+    return stitching.stitch_gt(parsed, _labelled_frames(spark, d)).polygons.drop("polygon")
 
 
 def stitch_boards(spark: SparkSession, d: str) -> DataFrame:
@@ -331,7 +343,7 @@ def stitch_boards(spark: SparkSession, d: str) -> DataFrame:
 
 def board_documents(spark: SparkSession, d: str) -> DataFrame:
     parsed = labels_strict(spark, d).withColumnRenamed("line_no", "ann_id")
-    gt = stitching.stitch_gt(parsed, D.frames(spark, d))
+    gt = stitching.stitch_gt(parsed, _labelled_frames(spark, d))
     return writers.board_documents(gt.boards, gt.polygons, gt.stats)
 
 
@@ -442,7 +454,7 @@ def queries() -> dict[str, Query]:
         board_canvas, mosaic_canvas, edge_touch, annotation_histogram, tier_labels, distinct_instances, cross_frame_dups,
         pseudo_label_quality, stratified_split, largest_remainder, split_totals, split_reasons,
         split_leaks, partitions_document, staging_join, staging_summary, iou_pairs, match_candidates, greedy_match, greedy_match_hot,
-        match_scores, board_set_ops, resume_antijoin, mask_iou_rects, merge_spans, union_area, union_components, stitch_gt,
+        match_scores, board_set_ops, resume_antijoin, mask_iou_rects, merge_spans, union_area, union_components, ring_islands, stitch_gt,
         stitch_boards, board_documents, eval_boards, eval_aggregate, average_precision, detection_summary,
         average_precision_masks, inspect_frames, mosaic_ownership, overlay_layers, board_mosaic, refreshed_boards,
     ]

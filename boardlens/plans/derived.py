@@ -126,6 +126,23 @@ def crowd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes(spark, sf_dir).withColumns({"board": F.floor(F.col("board") / 64).cast("int"), "frame": F.lit(0)})
 
 
+def ringed_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four bars around every object, an island in the middle and a dot beside: board, frame, ann_id, x1, y1, x2, y2.
+
+    Every third ring is open on its right side, so its island is not enclosed. Objects of a board stand 200 px apart.
+    """
+    slot = objects(spark, sf_dir).select("board", "obj_id", (F.col("obj_id") % 80).alias("slot"))
+    left = F.col("slot") * 200
+    bars = [(10, 10, 130, 16), (10, 90, 130, 96), (10, 10, 16, 96), (124, 10, 130, 96), (60, 40, 80, 60), (150, 40, 160, 50)]
+    each = F.array(*[F.struct(F.lit(i).alias("i"), *[F.lit(v).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), bar)]) for i, bar in enumerate(bars)])
+    rows = slot.select("board", "obj_id", left.alias("left"), F.explode(each).alias("b"))
+    rows = rows.filter((F.col("b.i") != 3) | (F.col("obj_id") % 3 != 0))
+    return rows.select(
+        "board", F.lit(0).alias("frame"), (F.col("obj_id") * 6 + F.col("b.i")).alias("ann_id"), (F.col("left") + F.col("b.x1")).cast("int").alias("x1"),
+        "b.y1", (F.col("left") + F.col("b.x2")).cast("int").alias("x2"), "b.y2",
+    )
+
+
 def row_of_boxes(spark: SparkSession, sf_dir: str, shift: int, id_col: str) -> DataFrame:
     """Equal boxes 20 px apart on one board, one for each object in their order: board, id, x1, y1, x2, y2."""
     ranked = global_rank(objects(spark, sf_dir).select("obj_id"), [F.col("obj_id")], id_col)

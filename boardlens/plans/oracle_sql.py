@@ -444,12 +444,23 @@ lab AS (SELECT 0 AS step, ann_id AS id, ann_id AS label FROM u
                      ON c.board = m.board AND m.y BETWEEN c.y1 AND c.y2 AND c.x1 BETWEEN m.xs AND m.xe) s GROUP BY s.board, s.comp""",
             _REGIONS, _ROWS, _components("rects_ok", "uc"), recursive=True,
         ),
+        "ring_islands": _q(
+            """SELECT board, poly_id, area, x1, y1, x2, y2, CAST(vertices AS INTEGER) AS vertices FROM (
+               SELECT board, s * 200 AS x, open, unnest([
+                 {'i': 0, 'p': 10 * 4294967296 + 10, 'a': 2 * 121 * 7 + 73 * 7 * CASE WHEN open THEN 1 ELSE 2 END, 'x1': 10, 'y1': 10, 'x2': 130, 'y2': 96, 'v': CASE WHEN open THEN 8 ELSE 4 END},
+                 {'i': 1, 'p': 40 * 4294967296 + 60, 'a': 441, 'x1': 60, 'y1': 40, 'x2': 80, 'y2': 60, 'v': 4},
+                 {'i': 2, 'p': 40 * 4294967296 + 150, 'a': 121, 'x1': 150, 'y1': 40, 'x2': 160, 'y2': 50, 'v': 4}]) AS r
+               FROM (SELECT board, obj_id % 80 AS s, max(obj_id % 3) = 0 AS open FROM objects GROUP BY ALL)) q,
+               LATERAL (SELECT r.p + x AS poly_id, CAST(r.a AS BIGINT) AS area, CAST(r.x1 + x AS INTEGER) AS x1, r.y1 AS y1, CAST(r.x2 + x AS INTEGER) AS x2, r.y2 AS y2, r.v AS vertices)
+               WHERE open OR r.i <> 1"""
+        ),
         "stitch_gt": _q(
             """SELECT s.board, s.comp AS poly_id, CAST(sum(s.xe - s.xs + 1) AS BIGINT) AS area, min(s.xs) AS x1, min(s.y) AS y1, max(s.xe) AS x2, max(s.y) AS y2
                FROM (SELECT DISTINCT m.board, m.y, m.xs, m.xe, c.comp FROM merged m JOIN uc c
                      ON c.board = m.board AND m.y BETWEEN c.y1 AND c.y2 AND c.x1 BETWEEN m.xs AND m.xe) s GROUP BY s.board, s.comp
                HAVING min(s.xs) < max(s.xe) AND min(s.y) < max(s.y)""",
-            _STRICT, _REGIONS.replace("FROM dets JOIN canvas USING (board) WHERE conf >= 0.25", "FROM strict_ok JOIN canvas USING (board)"),
+            _STRICT, _REGIONS.replace("FROM dets JOIN canvas USING (board) WHERE conf >= 0.25", "FROM strict_ok JOIN canvas USING (board)").replace(
+                "FROM frames GROUP BY board", "FROM frames SEMI JOIN label_files USING (board, frame) GROUP BY board"),
             _ROWS, _components("rects_ok", "uc"), recursive=True,
         ),
         "labels_seg": _q("SELECT board, frame, det_id, 8 AS vertices, x1, y1, x2, y2 FROM dets"),

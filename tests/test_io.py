@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from boardlens.functions.geometry import box_polygon
 from boardlens.operators import evaluation, joins, pixels, scoring, splitting, stitching
 from boardlens.sources import documents, frames, labels, writers
 from boardlens.streaming import incremental
@@ -167,12 +168,7 @@ def test_seg_label_files_and_manifests(spark, tmp_path, data):
     dims = frames.frame_dims(spark, str(data / "images"))
     px = frames.decode_frames(spark, str(data / "images")).filter("ok")
     boxes = labels.labels_int(labels.scan_label_lines(spark, str(data / "labels")), dims).boxes
-    bright = lambda image, box, centre: image[:, :, 2] > 100
-    made = scoring.pseudo_label(px, boxes, bright)
-    got = {(r.frame, r.line_no): (r.fallback, [tuple(p) for p in r.polygon]) for r in made.collect()}
-    assert got[(0, 0)] == (False, [(24, 12), (39, 12), (39, 19), (24, 19)])
-    never = scoring.pseudo_label(px, boxes, lambda image, box, centre: np.zeros(image.shape[:2], bool))
-    assert {tuple(map(tuple, r.polygon)) for r in never.filter("frame = 0").collect()} == {((24, 12), (40, 12), (40, 20), (24, 20))}
+    made = boxes.withColumn("polygon", box_polygon(tuple(F.col(c) for c in ("x1", "y1", "x2", "y2"))))
     texts = writers.seg_label_files(px, made)
     assert writers.write_seg_labels(texts, str(tmp_path / "seg")) == 5
     assert (tmp_path / "seg" / "2_0.txt").read_text() == ""

@@ -93,9 +93,74 @@ def test_outline_redraws_exactly():
         ring, _ = outline.region_ring(y, a, b)
         px, py = np.array(ring).T
         assert np.array_equal(outline.filled_spans([px], [py])[0].reshape(-1, 3), spans)
-        mask, left, top = outline.spans_to_mask(y, a, b)
-        px, py = (outline.trace_border(mask) + (left - 1, top - 1)).T
-        assert np.array_equal(outline.filled_spans([px], [py])[0].reshape(-1, 3), spans)
+
+
+STEPS = ((1, 0), (1, 1), (0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1))  # clockwise on screen from east
+
+
+def followed_border(pixels):
+    """Every outer border pixel of a region, clockwise from its first one, by looking at the eight neighbours of each."""
+    start = min(pixels, key=lambda p: (p[1], p[0]))
+    chain, here, heading, first = [start], start, 0, None
+    while True:
+        for turn in range(6, 14):
+            d = (heading + turn) % 8
+            if (here[0] + STEPS[d][0], here[1] + STEPS[d][1]) in pixels:
+                break
+        else:
+            return chain
+        if here == start and d == first:
+            return chain[:-1]
+        first = d if first is None else first
+        here, heading = (here[0] + STEPS[d][0], here[1] + STEPS[d][1]), d
+        chain.append(here)
+
+
+def test_border_of_run_ends_equals_followed_pixels():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        h, w = rng.integers(2, 10, 2)
+        mask = rng.random((h, w)) < rng.choice([0.5, 0.6, 0.7, 0.85])
+        for region in flood(mask):
+            pixels = {(int(x), int(y)) for y, x in region}
+            runs = sorted((y, x) for x, y in pixels if (x - 1, y) not in pixels)
+            ends = [next(e for e in range(x, 99) if (e + 1, y) not in pixels) for y, x in runs]
+            y, a = np.array(runs).T
+            if len(set(y)) == len(y):
+                continue  # one run a row has its own shorter way
+            ring, holes = outline.region_ring(y, a, np.array(ends))
+            assert outline.simplify_closed(ring, 1.0) == outline.simplify_closed(followed_border(pixels), 1.0)
+            outside, todo = set(), [(-1, -1)]
+            while todo:
+                p = todo.pop()
+                if p not in outside and p not in pixels and -1 <= p[0] <= w and -1 <= p[1] <= h:
+                    outside.add(p)
+                    todo += [(p[0] + 1, p[1]), (p[0] - 1, p[1]), (p[0], p[1] + 1), (p[0], p[1] - 1)]
+            inner = {(x, y) for y in range(h) for x in range(w)} - pixels - outside
+            assert {(x, r) for r, u, v in np.array(holes, int).reshape(-1, 3) for x in range(u, v + 1)} == inner
+
+
+def test_border_of_a_very_long_board():
+    """2,000,000 x 220 px with teeth: memory follows the runs."""
+    import tracemalloc
+
+    rows = [[(0, 1_999_999)] if r % 40 == 0 else [(x, x + 3 + r % 3) for x in range(0, 2_000_000, 8000)] for r in range(220)]
+    y = np.concatenate([np.full(len(r), k) for k, r in enumerate(rows)])
+    a, b = np.array([run for r in rows for run in r]).T
+    tracemalloc.start()
+    ring, holes = outline.region_ring(y, a, b)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    assert ring[0] == (0, 0) and max(p[0] for p in ring) == 1_999_999 and len(holes) // 3 == 249 * 39 * 5
+
+
+def test_regions_clipped_apart(spark):
+    """A polygon that leaves the canvas falls into two regions."""
+    dims = spark.createDataFrame([(1, 0, 64, 40)], "board int, frame int, img_w int, img_h int")
+    arch = [(10, 30), (10, 50), (40, 50), (40, 30), (36, 30), (36, 46), (14, 46), (14, 30)]
+    polys = spark.createDataFrame([(1, 0, arch)], "board int, frame int, polygon array<struct<x:int,y:int>>")
+    got = stitching.stitch_boards(polys, dims).polygons.collect()
+    assert sorted((r.x1, r.y1, r.x2, r.y2) for r in got) == [(10, 30, 14, 39), (36, 30, 40, 39)]
 
 
 def test_filled_spans_cover_even_odd_pixels():
