@@ -68,6 +68,15 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
+def _planes(places: np.ndarray) -> bytes:
+    """Small numbers byte by byte of their places: the upper bytes, mostly zero, compress to almost nothing."""
+    return places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _first(sizes: np.ndarray) -> np.ndarray:
     """Which words start a document, from the documents' numbers of words."""
     out = np.zeros(int(sizes.sum()), bool)
@@ -87,7 +96,11 @@ class _Chunk:
 
     @classmethod
     def of(cls, words: bytes, at: bytes, sizes: np.ndarray) -> _Chunk:
-        keys, place = np.frombuffer(words, np.uint64), np.frombuffer(at, np.uint32)
+        stored = np.frombuffer(words, np.uint64)  # the most frequent ones first
+        order = np.argsort(stored)
+        keys, rank = stored[order], np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        place = rank[_from_planes(at)]
         first = _first(sizes)
         running = keys[place]
         pairs, pair_at = np.unique(pair_keys(np.concatenate([running[:1], running[:-1]])[~first], running[~first]), return_inverse=True)
@@ -103,12 +116,14 @@ def _chunks(documents: DataFrame, in_target: str | None, text_col: str) -> DataF
         made = n = 0
 
         def row() -> pd.DataFrame:
-            words, at = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True)
+            words, at, met = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True, return_counts=True)
+            frequent = np.argsort(-met, kind="stable")
+            words, rank = words[frequent], np.argsort(frequent)
             sizes = np.array([len(x[2]) for x in held], np.int64)
             targets = np.array([x[1] for x in held], np.int64)
             return pd.DataFrame({
                 "chunk": [task + made], "ids": [[x[0] for x in held]], "sizes": [sizes.tobytes()], "targets": [targets.astype(np.uint8).tobytes()],
-                "n": [int(sizes.sum())], "n_target": [int((sizes * targets).sum())], "words": [words.tobytes()], "at": [at.astype(np.uint32).tobytes()],
+                "n": [int(sizes.sum())], "n_target": [int((sizes * targets).sum())], "words": [words.tobytes()], "at": [_planes(rank[at])],
             })
 
         for batch in batches:
@@ -273,7 +288,7 @@ class DifferenceModel:
     def losses(self, keys: np.ndarray) -> np.ndarray:
         """2 x words: the background's and the target's loss of every word of a text."""
         words, at = np.unique(keys, return_inverse=True)
-        c = _Chunk.of(words.tobytes(), at.astype(np.uint32).tobytes(), np.array([len(keys)]))
+        c = _Chunk.of(words.tobytes(), _planes(at), np.array([len(keys)]))
         return _chunk_losses(c, _looked_up(self.words, self.word_counts, words), _looked_up(self.pairs, self.pair_counts, c.pairs), self.totals)
 
 

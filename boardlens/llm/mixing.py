@@ -13,6 +13,8 @@ SHARE = 1.5  # of all words together
 MOST = 2.0  # times the words of its source that a target may reach
 KEY_BITS = 60
 LEVELS = (12, 12, 18, 18)  # bits of the key that each histogram reads
+SMALL = 50_000  # sources whose table is broadcast, a few MB
+SALTS = 64
 
 
 def n_words(text: Column) -> Column:
@@ -56,10 +58,22 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return ranked.select("source", "source_size", F.least(cap, level * F.col("_weight")).alias("target"))
 
 
-def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
+def _by_source(rows: DataFrame, table: DataFrame, sources: int) -> DataFrame:
+    """``rows`` (with ``_s``) and the one row of ``table`` (with ``source``) for each, without any source's rows in one task.
+
+    A table of up to SMALL sources is broadcast; of a larger one every source has SALTS rows, to which its documents are dealt.
+    """
+    if sources <= SMALL:
+        return rows.join(F.broadcast(table), F.col("_s").eqNullSafe(F.col("source")))
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("_deal", F.pmod(F.xxhash64("_key"), F.lit(SALTS)))
+    return dealt.join(salted, F.col("_s").eqNullSafe(F.col("source")) & (F.col("_deal") == F.col("_salt"))).drop("_deal", "_salt")
+
+
+def _thresholds(rows: DataFrame, goals: DataFrame, sources: int) -> DataFrame:
     """(source, whole, _edge, _at_edge): whole passes over each source, and the key below which documents are taken once more.
 
-    ``rows`` are (source, size, _key). A level sums the words of the boundary bucket's rows by their next bits; the bucket
+    ``rows`` are (_s, size, _key), _s being the source. A level sums the words of the boundary bucket's rows by their next bits; the bucket
     in which the budget runs out is the next boundary. After the last level that bucket is one key, which is taken if that
     comes nearer to the budget.
     """
@@ -72,9 +86,9 @@ def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
     below = KEY_BITS
     for bits in LEVELS:
         above, below = below, below - bits
-        keyed = rows.select(F.col("source").alias("_s"), "size", F.shiftright("_key", above).alias("_prefix"), F.shiftright("_key", below).alias("_bucket"))
+        keyed = rows.select("_s", "size", "_key", F.shiftright("_key", above).alias("_prefix"), F.shiftright("_key", below).alias("_bucket"))
         if above < KEY_BITS:  # the first level has one bucket, which is every source's boundary
-            keyed = keyed.join(state, keyed["_s"].eqNullSafe(state["source"]) & (keyed["_prefix"] == F.shiftright(state["_edge"], above)))
+            keyed = _by_source(keyed, state, sources).filter(F.col("_prefix") == F.shiftright("_edge", above))
         sums = keyed.groupBy("_s", "_bucket").agg(F.sum("size").alias("_n")).filter("_n > 0")
         # at most 2**bits sums of a source: a fold over them finds where the budget runs out
         folded = sums.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("_bucket", "_n"))).alias("_b"))
@@ -104,19 +118,17 @@ def mix(
     Documents are read once, into a table of places; nothing is sorted, and a source of any size is summed before the shuffle.
     """
     rows = cut(
-        documents.select("doc_id", "source", n_words(F.col(text_col)).alias("size"), place(F.col("doc_id"), F.col(text_col)).alias("_key"))
+        documents.select("doc_id", F.col("source").alias("_s"), n_words(F.col(text_col)).alias("size"), place(F.col("doc_id"), F.col(text_col)).alias("_key"))
     )
-    goals = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most))
-    edges = _thresholds(rows, goals)
-    # the boundary keys: after the last level _left is what is missing and _edge one key
-    at_edge = rows.join(edges, rows["source"].eqNullSafe(edges["source"]) & (rows["_key"] == edges["_edge"]))
-    tied = at_edge.groupBy(edges["source"].alias("source")).agg(F.sum("size").alias("_tied"))
-    plan = goals.join(edges.withColumnRenamed("source", "_s1"), goals["source"].eqNullSafe(F.col("_s1")), "left")
-    plan = plan.join(tied.withColumnRenamed("source", "_s2"), F.col("source").eqNullSafe(F.col("_s2")), "left").select(
-        F.col("source").alias("_s"), "source_size", "target", F.coalesce("whole", F.lit(0)).alias("_whole"),
-        (F.coalesce("_edge", F.lit(0)) + F.when(2 * F.col("_left") >= F.col("_tied"), 1).otherwise(0)).alias("_below"),
-    )
-    more = F.when(F.col("_key") < F.col("_below"), 1).otherwise(0)
-    return rows.join(plan, rows["source"].eqNullSafe(F.col("_s"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("_whole") + more)).alias("taken")
+    sizes = rows.groupBy(F.col("_s").alias("source")).agg(F.sum("size").alias("source_size"))
+    goals = cut(targets(sizes, weights, share, most))
+    sources = goals.count()
+    edges = _thresholds(rows, goals, sources)
+    # after the last level _edge is one key, and _left what is missing there
+    tied = _by_source(rows, edges, sources).filter("_key = _edge").groupBy(F.col("_s").alias("_t")).agg(F.sum("size").alias("_tied"))
+    plan = goals.join(edges.withColumnRenamed("source", "_e"), F.col("source").eqNullSafe(F.col("_e")))
+    plan = plan.join(tied, F.col("source").eqNullSafe(F.col("_t")), "left").select(
+        "source", "source_size", "target", "whole", (F.col("_edge") + F.when(2 * F.col("_left") >= F.col("_tied"), 1).otherwise(0)).alias("_below")
     )
+    more = F.when(F.col("_key") < F.col("_below"), 1).otherwise(0)
+    return _by_source(rows, cut(plan), sources).select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("whole") + more)).alias("taken"))

@@ -82,7 +82,7 @@ def op9_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     """The target are the documents that ``labels`` marks as good, the background is every document."""
     documents = read_table(spark, d, "documents").select("doc_id", "text")
     good = read_table(spark, d, "labels").filter("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
-    return lmscore.scores(documents.join(good, "doc_id", "left"), "good")
+    return lmscore.scores(documents.join(good.hint("merge"), "doc_id", "left"), "good")  # the same plan for labels of any size
 
 
 def op10_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
