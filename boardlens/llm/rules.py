@@ -16,10 +16,9 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 THRESHOLDS = 48  # candidate cuts of a statistic, at its quantiles
 QUANTILE_ERROR = 0.002
-MAX_RULES = 12
-MAX_CONDITIONS = 3
-MIN_PRECISION = 0.9  # of a rejecting rule on the pruning rows
-MIN_COVERED = 5  # pruning rows
+MAX_CONDITIONS = 3  # of a rule, which stays readable
+MIN_PRECISION = 0.9  # estimated, of a rejecting rule
+PRIOR_ROWS = 2  # rows that the growing rows' share of rejects counts as among the pruning rows
 
 
 @dataclass(frozen=True)
@@ -93,9 +92,11 @@ def _best(hist: dict[str, np.ndarray], cuts: dict[str, list[float]], bad: float,
 def learn_rules(stats: DataFrame, labels: DataFrame, label: str = "quality") -> list[Rule]:
     """Rejecting rules from every labelled row of ``stats`` (doc_id, stats struct) that is not held out and passes the base.
 
-    Two thirds of the rows, by a hash of the id, grow a rule condition by condition; the other third prunes it to
-    the prefix of best worth (covered rejects minus covered keeps, over both) and ends the search when no prefix
-    reaches MIN_PRECISION. Rows covered by a rule leave both sets. Labels of 0.5 and more count as kept.
+    Two thirds of the rows, by a hash of the id, grow a rule condition by condition, up to MAX_CONDITIONS; the other third prunes it
+    to the prefix with the best estimated precision and ends the search when no prefix reaches MIN_PRECISION. The estimate
+    is the rejects' share among the pruning rows a prefix covers, with the (Laplace corrected) share among the growing rows
+    counting as PRIOR_ROWS more of them: few labels can still carry a rule, and no number of rows is required.
+    Rows covered by a rule leave both sets, so the list ends by itself. Labels of 0.5 and more count as kept.
     No labelled row, or rows of one class only, give an empty list.
     """
     rows = labelled(stats, labels.select("doc_id", label), label).filter(~base_failed()).select(
@@ -111,7 +112,7 @@ def learn_rules(stats: DataFrame, labels: DataFrame, label: str = "quality") ->
         rows = cut(rows.withColumn("bins", F.array(*[_cuts_below(F.col(f"stats.{n}"), c) for n, c in cuts.items()])))
         grow, prune = rows.filter("not prunes"), rows.filter("prunes")
     rules: list[Rule] = []
-    while cuts and len(rules) < MAX_RULES:
+    while cuts:
         open_grow, open_prune = grow, prune
         for r in rules:
             open_grow, open_prune = open_grow.filter(~_all(r, "stats")), open_prune.filter(~_all(r, "stats"))
@@ -128,11 +129,14 @@ def learn_rules(stats: DataFrame, labels: DataFrame, label: str = "quality") ->
         if not rule:
             break
         parts = [rule[: i + 1] for i in range(len(rule))]
-        tests = [f(F.when(_all(p, "stats"), v)) for p in parts for f, v in ((F.sum, F.col("bad")), (F.count, F.lit(1)))]
-        counts = [x or 0 for x in open_prune.agg(*tests).first()]
-        worth = [((2 * b - n) / n if n else -1.0, b / n if n else 0.0, n, p) for b, n, p in zip(counts[0::2], counts[1::2], parts, strict=True)]
-        value, precision, covered, kept = max(worth, key=lambda w: (w[0], -len(w[3])))
-        if precision < MIN_PRECISION or covered < MIN_COVERED:
+        tests = [f(F.when(_all(p, "stats") & (F.col("prunes") if last else ~F.col("prunes")), v)) for p in parts for last in (False, True) for f, v in ((F.sum, F.col("bad")), (F.count, F.lit(1)))]
+        counts = [x or 0 for x in open_grow.unionByName(open_prune).agg(*tests).first()]
+        worth = []
+        for i, part in enumerate(parts):
+            grown_bad, grown, bad, n = counts[4 * i : 4 * i + 4]
+            worth.append(((bad + PRIOR_ROWS * (grown_bad + 1) / (grown + 2)) / (n + PRIOR_ROWS), part))
+        precision, kept = max(worth, key=lambda w: (w[0], -len(w[1])))
+        if precision < MIN_PRECISION:
             break
         rules.append(kept)
     return rules
