@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlens.llm import chat, decontam, html_extract, langid, lmscore, mixing, packing, quality, repair, rules, simhash, textstats, token_files, trie
+from boardlens.llm import chat, decontam, html_extract, langid, lmscore, mixing, oracle, packing, quality, repair, rules, simhash, textstats, token_files, trie
 from boardlens.llm.common import held_out, read_table
 from boardlens.operators.lineage import checkpoint_folder, cut
 
@@ -114,4 +114,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()

@@ -237,7 +237,7 @@ def test_repair_of_a_long_conversation(spark):
     assert row.gaps > 100 and len(row.audit.replace("D", "")) % 2 == 0 and row.cost > 0
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries.oracle_sql() if n.startswith(("op11", "op12", "op13"))))
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     df = queries.queries()[name](spark, SF)
     con = compare.connect(SF)
