@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardlens.functions.geometry import polygon_bbox
 from boardlens.operators import outline
 from boardlens.operators.components import connected_components
 from boardlens.operators.lineage import cut
@@ -240,3 +241,45 @@ def _mask_iou(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.
 def mask_iou(a: Column | str, b: Column | str) -> Column:
     """Raster IoU of two polygon columns, row by row and without a shuffle."""
     return _mask_iou(*vertex_arrays(a), *vertex_arrays(b))
+
+
+def is_rectangle(polygon: Column | str) -> Column:
+    """Whether a polygon has the four corners of an axis-parallel rectangle, in either direction."""
+    x, y = vertex_arrays(polygon)
+    corner = lambda i, k: (F.get(x, F.lit(i)) == F.get(x, F.lit(k))) & (F.get(y, F.lit(i)) != F.get(y, F.lit(k)))
+    level = lambda i, k: (F.get(y, F.lit(i)) == F.get(y, F.lit(k))) & (F.get(x, F.lit(i)) != F.get(x, F.lit(k)))
+    turns = (level(0, 1) & corner(1, 2) & level(2, 3) & corner(3, 0)) | (corner(0, 1) & level(1, 2) & corner(2, 3) & level(3, 0))
+    return F.coalesce((F.size(x) == 4) & turns, F.lit(False))
+
+
+def _runs_of(pairs: DataFrame, polygon: str, side: str) -> DataFrame:
+    """The rows of a polygon as disjoint runs: _pair, y, <side>s, <side>e."""
+    spans = rasterize(pairs.select("_pair", F.col(polygon).alias("polygon")))
+    return spans.select("_pair", "y", F.col("xs").alias(side + "s"), F.col("xe").alias(side + "e"))
+
+
+def with_mask_iou(pairs: DataFrame, a: str, b: str, name: str = "mask_iou") -> DataFrame:
+    """Add the raster IoU of two polygon columns; polygons of fewer than three points have 0.
+
+    Two rectangles are compared by their corners. Of other pairs the runs of both shapes meet row by row, so a pair of
+    very large shapes is many small rows and nothing is held whole.
+    """
+    marked = cut(pairs.withColumn("_pair", F.monotonically_increasing_id()))
+    plain = is_rectangle(a) & is_rectangle(b)
+    ratio = lambda both, total: (both / F.nullif(total - both, F.lit(0)).cast("double")).cast("float")
+    p, q = polygon_bbox(a), polygon_bbox(b)
+    area = lambda r: (r["x2"] - r["x1"] + 1).cast("bigint") * (r["y2"] - r["y1"] + 1)
+    across = lambda low, high: F.greatest(F.lit(0), F.least(p[high], q[high]) - F.greatest(p[low], q[low]) + 1).cast("bigint")
+    boxes = marked.filter(plain).withColumn(name, ratio(across("x1", "x2") * across("y1", "y2"), area(p) + area(q)))
+    odd = marked.filter(~plain)
+    shaped = odd.filter((F.size(a) >= 3) & (F.size(b) >= 3))
+    left, right = _runs_of(shaped, a, "a"), _runs_of(shaped, b, "b")
+    met = left.join(right, ["_pair", "y"]).filter((F.col("as") <= F.col("be")) & (F.col("bs") <= F.col("ae")))
+    sizes = (
+        met.select("_pair", (F.least("ae", "be") - F.greatest("as", "bs") + 1).alias("_both"), F.lit(0).alias("_area"))
+        .unionByName(left.select("_pair", F.lit(0).alias("_both"), (F.col("ae") - F.col("as") + 1).alias("_area")))
+        .unionByName(right.select("_pair", F.lit(0).alias("_both"), (F.col("be") - F.col("bs") + 1).alias("_area")))
+        .groupBy("_pair").agg(F.sum("_both").alias("_both"), F.sum("_area").alias("_area"))
+    )
+    drawn = odd.join(sizes, "_pair", "left").withColumn(name, F.coalesce(ratio(F.col("_both"), F.col("_area")), F.lit(0.0).cast("float")))
+    return boxes.select(*pairs.columns, name).unionByName(drawn.select(*pairs.columns, name))

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from boardlens.functions import geometry as G
 from boardlens.functions.sqlfuncs import register_sql
 from boardlens.operators import evaluation, joins, matching, pairs, pixels, raster, splitting, stats, stitching
-from boardlens.operators.lineage import checkpoint_folder
+from boardlens.operators.lineage import checkpoint_folder, cut
 from boardlens.plans import derived as D
-from boardlens.sources import labels, writers
+from boardlens.sources import documents, labels, writers
 from boardlens.streaming import incremental
 
 FRAME = ["board", "frame"]
@@ -77,7 +77,7 @@ def label_rejects(spark: SparkSession, d: str) -> DataFrame:
 
 def seg_label_text(spark: SparkSession, d: str) -> DataFrame:
     line = G.seg_text("polygon", F.lit(D.FRAME_W), F.lit(D.FRAME_H))
-    return D.detection_polygons(spark, d).select(*FRAME, "det_id", line.alias("line"))
+    return D.detection_polygons(spark, d, missed=False).select(*FRAME, "det_id", line.alias("line"))
 
 
 def labels_seg(spark: SparkSession, d: str) -> DataFrame:
@@ -94,14 +94,14 @@ def labels_seg(spark: SparkSession, d: str) -> DataFrame:
 def polygon_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Bounding box and area through the SQL functions."""
     register_sql(spark)
-    polys = D.detection_polygons(spark, d).select(*FRAME, "det_id", "polygon")
+    polys = D.detection_polygons(spark, d, missed=False).select(*FRAME, "det_id", "polygon")
     return polys.selectExpr(*FRAME, "det_id", "polygon_bbox(polygon) AS b", "polygon_area(polygon) AS area").select(
         *FRAME, "det_id", "b.*", "area"
     )
 
 
 def letterbox_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    dets = D.detections(spark, d).join(D.frames(spark, d), FRAME)
+    dets = D.detections(spark, d, missed=False).join(D.frames(spark, d), FRAME)
     lb = dets.withColumn("lb", G.letterbox_params(F.col("img_w"), F.col("img_h"), 960))
     point = F.array(F.struct((F.col("x1") + F.col("lb.pad_x")).alias("x"), F.col("y1").alias("y")))
     back = G.inverse_letterbox(point, F.col("lb"), F.col("img_w"), F.col("img_h"))[0]
@@ -139,8 +139,9 @@ def crowded_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 
 def box_piles(spark: SparkSession, d: str) -> DataFrame:
-    """Equal detections of a board, which the pair queries name by the first of them."""
-    return pairs.pile_members(stats.to_board_boxes(D.detections(spark, d)), ["board"], "det_id")
+    """Boxes of a board that are equal once their corners are moved to a grid of 32 px; pair queries name the first of such boxes."""
+    snapped = stats.to_board_boxes(D.boxes(spark, d)).withColumns({c: (F.floor(F.col(c) / 32) * 32).cast("int") for c in pairs.BOX})
+    return pairs.pile_members(snapped, ["board"], "ann_id")
 
 
 def board_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -291,8 +292,15 @@ def resume_antijoin(spark: SparkSession, d: str) -> DataFrame:
 
 def mask_iou_rects(spark: SparkSession, d: str) -> DataFrame:
     g = D.boxes(spark, d).select(*FRAME, F.col("ann_id").alias("det_id"), G.box_polygon(G.box_cols()).alias("gp"))
-    p = D.detections(spark, d).select(*FRAME, "det_id", G.box_polygon(G.box_cols()).alias("pp"))
-    return p.join(g, [*FRAME, "det_id"]).select(*FRAME, "det_id", raster.mask_iou("pp", "gp").alias("mask_iou"))
+    p = D.detections(spark, d, missed=False).select(*FRAME, "det_id", G.box_polygon(G.box_cols()).alias("pp"))
+    return raster.with_mask_iou(p.join(g, [*FRAME, "det_id"]), "pp", "gp").select(*FRAME, "det_id", "mask_iou")
+
+
+def mask_iou_octagons(spark: SparkSession, d: str) -> DataFrame:
+    """Octagonal detections against the boxes of their objects."""
+    g = D.boxes(spark, d).select(*FRAME, F.col("ann_id").alias("det_id"), G.box_polygon(G.box_cols()).alias("gp"))
+    p = D.detection_polygons(spark, d, missed=False).select(*FRAME, "det_id", F.col("polygon").alias("pp"))
+    return _r6(raster.with_mask_iou(p.join(g, [*FRAME, "det_id"]), "pp", "gp").select(*FRAME, "det_id", "mask_iou"), "mask_iou")
 
 
 # -- raster union --------------------------------------------------------------------------
@@ -372,6 +380,27 @@ def eval_aggregate(spark: SparkSession, d: str) -> DataFrame:
     return _r6(agg, "precision", "recall", "mean_iou_micro", "mean_iou_macro", "over_merge_pct", digits=5)
 
 
+def runs_sorted(spark: SparkSession, d: str) -> DataFrame:
+    """Four runs, each with a record and a report of a quarter of the boards, listed again by their scores."""
+    root = f"{checkpoint_folder(spark)}/runs-{uuid.uuid4().hex}"
+    found = _evaluated(spark, d, False)
+    per_board = cut(found.per_board)
+    for k in range(4):
+        mine = F.col("board") % 4 == k
+        part = per_board.filter(mine)
+        writers.write_eval_report(evaluation.Evaluation(found.matches.filter(mine), part, evaluation.aggregate_results(part, 0.5)), f"{root}/run{k}")
+        writers.write_run_meta(spark, f"{root}/run{k}", "train_yolo", {"model": f"m{k}", "epochs": 10 * k}, 1.5 * k)
+    runs = documents.sort_runs(documents.scan_runs(spark, root), "f1")
+    return _r6(runs.select("name", "model", "epochs", "elapsed", "f1", "precision", "recall"), "f1", "precision", "recall", digits=5)
+
+
+def frames_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Every frame's place by number and by name."""
+    listed = D.frames(spark, d).select(*FRAME, "stem")
+    named = joins.frames_in_order(listed, by_name=True).select("stem", F.col("place").alias("name_place"))
+    return joins.frames_in_order(listed).join(named, "stem").select(*FRAME, "place", "name_place")
+
+
 def _average_precision(spark: SparkSession, d: str) -> evaluation.Precision:
     return evaluation.evaluate_detections(D.detections(spark, d), D.boxes(spark, d).withColumnsRenamed({"ann_id": "gt_id"}).withColumn("cls", F.lit(0)))
 
@@ -392,18 +421,13 @@ def average_precision_masks(spark: SparkSession, d: str) -> DataFrame:
 # -- pixels and models ---------------------------------------------------------------------------
 
 
-def inspect_frames(spark: SparkSession, d: str) -> DataFrame:
-    out = pixels.inspect_frames(D.thumbnails(spark, d), D.thumbnail_boxes(spark, d), near_gap_min_px=0.5)
-    return _r6(out, "dark")
-
-
 def mosaic_ownership(spark: SparkSession, d: str) -> DataFrame:
     return pixels.mosaic_ownership(D.frames(spark, d))
 
 
 def overlay_layers(spark: SparkSession, d: str) -> DataFrame:
     """Extent of each board's layers in canvas coordinates."""
-    seg = D.detections(spark, d).select(*FRAME, G.box_polygon(G.box_cols()).alias("polygon"))
+    seg = D.detections(spark, d, missed=False).select(*FRAME, G.box_polygon(G.box_cols()).alias("polygon"))
     shapes = pixels.collect_overlays(D.boxes(spark, d), seg)
     box = G.polygon_bbox("polygon")
     return shapes.select("layer", "board", box.alias("b")).groupBy("layer", "board").agg(
@@ -411,24 +435,6 @@ def overlay_layers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _thumb_canvas(spark: SparkSession, d: str) -> DataFrame:
-    dims = D.frames(spark, d).withColumns({"img_w": F.lit(D.THUMB_W), "img_h": F.lit(D.THUMB_H)})
-    return stats.board_canvas(dims, D.THUMB_STRIDE)
-
-
-def board_mosaic(spark: SparkSession, d: str) -> DataFrame:
-    """Mosaic tiles with ground-truth and prediction outlines drawn on them."""
-    canvas = _thumb_canvas(spark, d)
-    tiles = pixels.board_mosaic(D.thumbnails(spark, d), canvas, D.THUMB_STRIDE)
-    small = [(F.col(c) / D.THUMB_SCALE).cast("int") for c in ("x1", "y1", "x2", "y2")]
-    shape = lambda df, name: pixels.collect_overlays(
-        df.select(*FRAME, *[c.alias(n) for c, n in zip(small, pairs.BOX)]), stride=D.THUMB_STRIDE
-    ).withColumn("layer", F.lit(name))
-    layers = shape(D.boxes(spark, d), "gt").unionByName(shape(_kept(spark, d), "pred"))
-    drawn = pixels.overlay_outlines(tiles, layers, canvas, width=1, stride=D.THUMB_STRIDE)
-    return drawn.select("board", "slot", "x0", "width", "height", F.md5("bgr").alias("bgr_md5"))
-
-
 def refreshed_boards(spark: SparkSession, d: str) -> DataFrame:
     """Boards merged by the streaming job after two deliveries of frames."""
     root = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -454,8 +460,8 @@ def queries() -> dict[str, Query]:
         board_canvas, mosaic_canvas, edge_touch, annotation_histogram, tier_labels, distinct_instances, cross_frame_dups,
         pseudo_label_quality, stratified_split, largest_remainder, split_totals, split_reasons,
         split_leaks, partitions_document, staging_join, staging_summary, iou_pairs, match_candidates, greedy_match, greedy_match_hot,
-        match_scores, board_set_ops, resume_antijoin, mask_iou_rects, merge_spans, union_area, union_components, ring_islands, stitch_gt,
-        stitch_boards, board_documents, eval_boards, eval_aggregate, average_precision, detection_summary,
-        average_precision_masks, inspect_frames, mosaic_ownership, overlay_layers, board_mosaic, refreshed_boards,
+        match_scores, board_set_ops, resume_antijoin, mask_iou_rects, mask_iou_octagons, merge_spans, union_area, union_components, ring_islands, stitch_gt,
+        stitch_boards, board_documents, eval_boards, eval_aggregate, runs_sorted, frames_in_order, average_precision, detection_summary,
+        average_precision_masks, mosaic_ownership, overlay_layers, refreshed_boards,
     ]
     return {**{q.__name__: q for q in listed}, "board_features": board_features_rounded}

@@ -8,11 +8,8 @@ displaced; all rows of ``lineitem`` take part and nothing is sampled.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from boardlens.operators.ranking import global_rank
 
@@ -122,8 +119,8 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crowd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The boxes of 64 boards in one frame each: board, frame, ann_id, x1, y1, x2, y2."""
-    return boxes(spark, sf_dir).withColumns({"board": F.floor(F.col("board") / 64).cast("int"), "frame": F.lit(0)})
+    """The boxes of 16 boards in one frame each: board, frame, ann_id, x1, y1, x2, y2."""
+    return boxes(spark, sf_dir).withColumns({"board": F.floor(F.col("board") / 16).cast("int"), "frame": F.lit(0)})
 
 
 def ringed_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,11 +147,14 @@ def row_of_boxes(spark: SparkSession, sf_dir: str, shift: int, id_col: str) -> D
     return ranked.select(F.lit(0).alias("board"), id_col, left.alias("x1"), F.lit(0).alias("y1"), (left + 30).alias("x2"), F.lit(9).alias("y2"))
 
 
-def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detector output: board, frame, det_id, cls, conf, x1, y1, x2, y2 (some missed, some displaced)."""
+def detections(spark: SparkSession, sf_dir: str, missed: bool = True) -> DataFrame:
+    """Detector output: board, frame, det_id, cls, conf, x1, y1, x2, y2, some displaced.
+
+    Every eleventh object is missed, which matching and evaluation have to cope with; without ``missed`` all are there.
+    """
     a = F.col("ann_id")
     away = F.when(a % 13 == 0, 90).otherwise(0)
-    rows = annotations(spark, sf_dir).filter(a % 11 != 0).select(
+    rows = annotations(spark, sf_dir).filter((a % 11 != 0) | F.lit(not missed)).select(
         "board",
         "frame",
         a.alias("det_id"),
@@ -168,7 +168,7 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter("x2 > x1")
 
 
-def detection_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+def detection_polygons(spark: SparkSession, sf_dir: str, missed: bool = True) -> DataFrame:
     """Detections with octagonal outlines: their columns and polygon."""
     point = lambda x, y: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"))
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
@@ -177,41 +177,4 @@ def detection_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
         point(x1 + c, y1), point(x2 - c, y1), point(x2, y1 + c), point(x2, y2 - c),
         point(x2 - c, y2), point(x1 + c, y2), point(x1, y2 - c), point(x1, y1 + c),
     )
-    return detections(spark, sf_dir).withColumn("polygon", ring)
-
-
-# -- pixels ------------------------------------------------------------------------------
-
-THUMB_W, THUMB_H, THUMB_STRIDE, THUMB_SCALE = 32, 11, 16, 20
-
-
-@F.pandas_udf(T.BinaryType())
-def _thumbnail(board: pd.Series, frame: pd.Series) -> pd.Series:
-    x, y = np.meshgrid(np.arange(THUMB_W), np.arange(THUMB_H))
-    out = []
-    for b, f in zip(board.astype(int), frame.astype(int)):
-        red = (x * 7 + y * 13 + b * 3 + f * 5) % 97 + 60
-        green = (x * 3 + y * 5 + b + f * 7) % 61 + 40
-        blue = (x + y * 11 + b * 7 + f) % 53 + 20
-        border = (y < 1 + (b + f) % 3) | (y >= THUMB_H - 1 - b % 2) | ((b + f) % 41 == 0)
-        image = np.stack([np.where(border, (x + y) % 25, c) for c in (blue, green, red)], axis=2)
-        out.append(image.astype(np.uint8).tobytes())
-    return pd.Series(out)
-
-
-def thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small picture per frame: a brown strip between dark borders, some frames all dark."""
-    return frames(spark, sf_dir).select(
-        *FRAME,
-        F.lit(THUMB_W).alias("img_w"),
-        F.lit(THUMB_H).alias("img_h"),
-        F.lit(3).alias("channels"),
-        _thumbnail("board", "frame").alias("pixels"),
-        F.lit(True).alias("ok"),
-    )
-
-
-def thumbnail_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The annotation boxes at thumbnail scale."""
-    scaled = {c: F.col(c).cast("double") / THUMB_SCALE for c in ("x1", "y1", "x2", "y2")}
-    return boxes(spark, sf_dir).withColumns(scaled)
+    return detections(spark, sf_dir, missed).withColumn("polygon", ring)

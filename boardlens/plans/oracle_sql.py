@@ -42,13 +42,14 @@ label_lines AS (
          ELSE concat_ws(' ', '0', cx, cy, bw, bh) END AS line FROM micro),
 label_files AS (SELECT board, frame, count(*) AS annots FROM label_lines GROUP BY board, frame),
 boxes AS (SELECT board, frame, ann_id, x0 AS x1, y0 AS y1, x0 + w0 AS x2, y0 + h0 AS y2 FROM ann),
-dets AS (
+all_dets AS (
   SELECT * FROM (
     SELECT board, frame, ann_id AS det_id, 0 AS cls, CAST(20 + ann_id % 80 AS DOUBLE) / 100 AS conf,
       CAST(greatest(0, x0 + ann_id % 5 - 2 + CASE WHEN ann_id % 13 = 0 THEN 90 ELSE 0 END) AS INTEGER) AS x1, y0 AS y1,
       CAST(least(640, x0 + w0 + ann_id % 7 - 2 + CASE WHEN ann_id % 13 = 0 THEN 90 ELSE 0 END) AS INTEGER) AS x2,
       CAST(least(220, y0 + h0 + ann_id % 4 - 1) AS INTEGER) AS y2
-    FROM ann WHERE ann_id % 11 <> 0) WHERE x2 > x1)"""
+    FROM ann) WHERE x2 > x1),
+dets AS (SELECT * FROM all_dets WHERE det_id % 11 <> 0)"""
 
 # Parsed label lines: t holds the tokens, numeric tells whether tokens 2-5 are numbers.
 _TOKENS = """
@@ -229,20 +230,6 @@ fc_e AS MATERIALIZED (SELECT a_ann_id AS s, b_ann_id AS d FROM near UNION ALL SE
 fc_r AS (SELECT ann_id AS root, ann_id AS id FROM uniq UNION SELECT r.root, e.d FROM fc_r r JOIN fc_e e ON e.s = r.id),
 fc AS (SELECT u.board, u.frame, u.copies, c.comp FROM uniq u JOIN (SELECT id, min(root) AS comp FROM fc_r GROUP BY id) c ON c.id = u.ann_id)"""
 
-_PIXELS = """
-px AS (SELECT board, frame, x, y, (19595 * r + 38470 * g + 7471 * b + 32768) // 65536 AS lum, greatest(r, g, b) - least(r, g, b) AS chroma FROM (
-  SELECT board, frame, x, y, CASE WHEN dk THEN (x + y) % 25 ELSE (x * 7 + y * 13 + board * 3 + frame * 5) % 97 + 60 END AS r,
-    CASE WHEN dk THEN (x + y) % 25 ELSE (x * 3 + y * 5 + board + frame * 7) % 61 + 40 END AS g,
-    CASE WHEN dk THEN (x + y) % 25 ELSE (x + y * 11 + board * 7 + frame) % 53 + 20 END AS b
-  FROM (SELECT board, frame, x, y, y < 1 + (board + frame) % 3 OR y >= 10 - board % 2 OR (board + frame) % 41 = 0 AS dk
-    FROM frames, (SELECT unnest(range(0, 32)) AS x) a, (SELECT unnest(range(0, 11)) AS y) c))),
-strip AS (SELECT board, frame, CAST(min(y) AS INTEGER) AS top, CAST(max(y) AS INTEGER) AS last FROM (
-  SELECT board, frame, y FROM px GROUP BY board, frame, y HAVING count(*) FILTER (lum > 30) >= 16) GROUP BY board, frame),
-cover AS (SELECT DISTINCT board, frame, x, unnest(range(greatest(0, CAST(floor(y1) AS BIGINT)), least(11, CAST(ceil(y2) AS BIGINT)))) AS y FROM (
-  SELECT *, unnest(range(greatest(0, CAST(floor(x1) AS BIGINT)), least(32, CAST(ceil(x2) AS BIGINT)))) AS x FROM floats)),
-dark AS (SELECT board, frame, count(*) FILTER (lum > 30 AND lum <= 120 AND chroma >= 15) / CAST(count(*) AS DOUBLE) AS dark
-  FROM px JOIN strip USING (board, frame) ANTI JOIN cover USING (board, frame, x, y) WHERE y BETWEEN top AND last GROUP BY board, frame)"""
-
 _AP = f"""
 ag AS (SELECT board, frame, x1, y1, x2, y2, min(ann_id) AS gt_id FROM boxes GROUP BY ALL),
 ad AS (SELECT board, frame, x1, y1, x2, y2, max(conf) AS conf, arg_max(det_id, conf * 1e9 - det_id * 1e-9) AS det_id
@@ -302,7 +289,7 @@ def statements() -> dict[str, str]:
         ),
         "seg_label_text": _q(
             f"""SELECT board, frame, det_id, concat_ws(' ', '0', {ring}) AS line
-               FROM (SELECT *, least(3, least(x2 - x1, y2 - y1) // 3) AS c FROM dets)"""
+               FROM (SELECT *, least(3, least(x2 - x1, y2 - y1) // 3) AS c FROM all_dets)"""
         ),
         "board_features": _q(f"SELECT board, frames, {r6('cluster_frac')} FROM features", _FLOATS, _FEATURES),
         "has_cluster": _q("SELECT board, frame FROM clustered", _FLOATS, _NEAR),
@@ -314,7 +301,7 @@ def statements() -> dict[str, str]:
         "crowded_clusters": _q(
             """SELECT board, 0 AS frame, count(*) AS clusters FROM (
                SELECT u.board, l.label FROM u JOIN lab l ON l.id = u.ann_id WHERE l.step = 40 GROUP BY ALL HAVING sum(copies) >= 2) GROUP BY board""",
-            """c AS MATERIALIZED (SELECT CAST(board // 64 AS INTEGER) AS board, ann_id, x1, y1, x2, y2 FROM boxes),
+            """c AS MATERIALIZED (SELECT CAST(board // 16 AS INTEGER) AS board, ann_id, x1, y1, x2, y2 FROM boxes),
 u AS MATERIALIZED (SELECT board, x1, y1, x2, y2, min(ann_id) AS ann_id, count(*) AS copies FROM c GROUP BY ALL)""",
             f"""e AS MATERIALIZED (SELECT a.ann_id AS s, b.ann_id AS d FROM u a JOIN u b ON a.board = b.board AND a.ann_id <> b.ann_id AND {_near("a", "b")}),
 lab AS (SELECT 0 AS step, ann_id AS id, ann_id AS label FROM u
@@ -323,9 +310,10 @@ lab AS (SELECT 0 AS step, ann_id AS id, ann_id AS label FROM u
             recursive=True,
         ),
         "box_piles": _q(
-            """SELECT board, first_id, row_number() OVER (PARTITION BY board, first_id ORDER BY det_id) - 1 AS rank, det_id FROM (
-               SELECT board, det_id, min(det_id) OVER w AS first_id, count(*) OVER w AS n FROM (
-                 SELECT board, det_id, x1 + frame * 320 AS x1, y1, x2 + frame * 320 AS x2, y2 FROM dets) WINDOW w AS (PARTITION BY board, x1, y1, x2, y2)) WHERE n > 1"""
+            """SELECT board, first_id, row_number() OVER (PARTITION BY board, first_id ORDER BY ann_id) - 1 AS rank, ann_id FROM (
+               SELECT board, ann_id, min(ann_id) OVER w AS first_id, count(*) OVER w AS n FROM (
+                 SELECT board, ann_id, (x1 + frame * 320) // 32 AS x1, y1 // 32 AS y1, (x2 + frame * 320) // 32 AS x2, y2 // 32 AS y2 FROM boxes)
+               WINDOW w AS (PARTITION BY board, x1, y1, x2, y2)) WHERE n > 1"""
         ),
         "greedy_match_hot": _q(
             """SELECT 0 AS board, id AS pred_id, id AS gt_id, 0.5::FLOAT AS bbox_iou FROM (SELECT row_number() OVER (ORDER BY obj_id) - 1 AS id FROM objects)"""
@@ -463,17 +451,27 @@ lab AS (SELECT 0 AS step, ann_id AS id, ann_id AS label FROM u
                 "FROM frames GROUP BY board", "FROM frames SEMI JOIN label_files USING (board, frame) GROUP BY board"),
             _ROWS, _components("rects_ok", "uc"), recursive=True,
         ),
-        "labels_seg": _q("SELECT board, frame, det_id, 8 AS vertices, x1, y1, x2, y2 FROM dets"),
+        "labels_seg": _q("SELECT board, frame, det_id, 8 AS vertices, x1, y1, x2, y2 FROM all_dets"),
         "mask_iou_rects": _q(
             """SELECT d.board, d.frame, d.det_id, CAST(i / CAST(da + ga - i AS DOUBLE) AS FLOAT) AS mask_iou FROM (
                SELECT d.board, d.frame, d.det_id,
                  greatest(0, least(d.x2, g.x2) - greatest(d.x1, g.x1) + 1) * greatest(0, least(d.y2, g.y2) - greatest(d.y1, g.y1) + 1) AS i,
                  (d.x2 - d.x1 + 1) * (d.y2 - d.y1 + 1) AS da, (g.x2 - g.x1 + 1) * (g.y2 - g.y1 + 1) AS ga
-               FROM dets d JOIN boxes g ON d.board = g.board AND d.frame = g.frame AND d.det_id = g.ann_id) d"""
+               FROM all_dets d JOIN boxes g ON d.board = g.board AND d.frame = g.frame AND d.det_id = g.ann_id) d"""
+        ),
+        "mask_iou_octagons": _q(
+            """SELECT board, frame, det_id, round(CAST(CAST(sum(i) / CAST(sum(a) + max(ga) - sum(i) AS DOUBLE) AS FLOAT) AS DOUBLE), 6) AS mask_iou FROM (
+               SELECT board, frame, det_id, ga, xe - xs + 1 AS a,
+                 CASE WHEN y BETWEEN gy1 AND gy2 THEN greatest(0, least(xe, gx2) - greatest(xs, gx1) + 1) ELSE 0 END AS i
+               FROM (SELECT *, x1 + greatest(0, c - (y - y1), c - (y2 - y)) AS xs, x2 - greatest(0, c - (y - y1), c - (y2 - y)) AS xe
+                 FROM (SELECT d.board, d.frame, d.det_id, d.x1, d.y1, d.x2, d.y2, unnest(range(d.y1, d.y2 + 1)) AS y,
+                         least(3, least(d.x2 - d.x1, d.y2 - d.y1) // 3) AS c, g.x1 AS gx1, g.y1 AS gy1, g.x2 AS gx2, g.y2 AS gy2,
+                         (g.x2 - g.x1 + 1) * (g.y2 - g.y1 + 1) AS ga
+                       FROM all_dets d JOIN boxes g ON d.board = g.board AND d.frame = g.frame AND d.det_id = g.ann_id))) GROUP BY board, frame, det_id"""
         ),
         "polygon_metrics": _q(
             """SELECT board, frame, det_id, x1, y1, x2, y2, CAST((x2 - x1) * (y2 - y1) - 2 * c * c AS DOUBLE) AS area
-               FROM (SELECT *, least(3, least(x2 - x1, y2 - y1) // 3) AS c FROM dets)"""
+               FROM (SELECT *, least(3, least(x2 - x1, y2 - y1) // 3) AS c FROM all_dets)"""
         ),
         "letterbox_roundtrip": _q(
             """SELECT board, frame, det_id, img_h, pad_x, pad_y,
@@ -482,7 +480,7 @@ lab AS (SELECT 0 AS step, ann_id AS id, ann_id AS label FROM u
                FROM (SELECT d.*, f.img_w, f.img_h, CAST(least(960.0::DOUBLE / f.img_h, 960.0::DOUBLE / f.img_w) AS FLOAT)::DOUBLE AS sc,
                  CAST((960 - CAST(round(640 * 1.5) AS INTEGER)) // 2 AS INTEGER) AS pad_x,
                  CAST((960 - CAST(round(f.img_h * 1.5) AS INTEGER)) // 2 AS INTEGER) AS pad_y
-               FROM dets d JOIN frames f USING (board, frame))"""
+               FROM all_dets d JOIN frames f USING (board, frame))"""
         ),
         "mosaic_ownership": _q(
             """SELECT board, slot, min(x) AS x_from, max(x) AS x_to, frame FROM (
@@ -493,19 +491,7 @@ lab AS (SELECT 0 AS step, ann_id AS id, ann_id AS label FROM u
         "overlay_layers": _q(
             """SELECT layer, board, count(*) AS shapes, min(x1) AS left_x, max(x2) AS right_x FROM (
                SELECT 'boxes' AS layer, board, x1 + frame * 320 AS x1, x2 + frame * 320 AS x2 FROM boxes
-               UNION ALL SELECT 'seg', board, x1 + frame * 320, x2 + frame * 320 FROM dets) GROUP BY layer, board"""
-        ),
-        "inspect_frames": _q(
-            """SELECT f.board, f.frame, 32 AS img_w, 11 AS img_h, coalesce(s.top, -1) AS top, coalesce(10 - s.last, -1) AS bot,
-               round(coalesce(d.dark, 0), 6) AS dark, coalesce(e.annot, 0) AS annot, coalesce(e.edge, 0) AS edge, coalesce(c.clusters, 0) AS clusters
-               FROM frames f LEFT JOIN strip s USING (board, frame) LEFT JOIN dark d USING (board, frame)
-               LEFT JOIN (SELECT board, frame, count(*) AS annot, CAST(sum(CASE WHEN x1 <= 1 OR 32 - x2 <= 1 OR y1 <= 1 OR 11 - y2 <= 1 THEN 1 ELSE 0 END) AS BIGINT) AS edge
-                 FROM floats GROUP BY board, frame) e USING (board, frame)
-               LEFT JOIN (SELECT board, frame, count(*) AS clusters FROM (SELECT board, frame, comp FROM fc GROUP BY ALL HAVING sum(copies) >= 2)
-                 GROUP BY board, frame) c USING (board, frame)""",
-            "floats AS (SELECT board, frame, ann_id, x1 / 20.0::DOUBLE AS x1, y1 / 20.0::DOUBLE AS y1, x2 / 20.0::DOUBLE AS x2, y2 / 20.0::DOUBLE AS y2 "
-            "FROM boxes SEMI JOIN frames USING (board, frame))",
-            _FRAME_CLUSTERS.replace("5.0::DOUBLE", "0.5::DOUBLE"), _PIXELS, recursive=True,
+               UNION ALL SELECT 'seg', board, x1 + frame * 320, x2 + frame * 320 FROM all_dets) GROUP BY layer, board"""
         ),
         "pseudo_label_quality": _q(
             """SELECT (SELECT count(*) FROM st WHERE nb > 0) AS processed, 0::BIGINT AS skipped, (SELECT count(*) FROM st WHERE nb = 0) AS empty,
@@ -535,6 +521,17 @@ lab AS (SELECT 0 AS step, ann_id AS id, ann_id AS label FROM u
                round(CAST(CAST(mean_iou AS FLOAT) AS DOUBLE), 5) AS mean_iou FROM per_board""",
             _EVAL, recursive=True,
         ),
+        "runs_sorted": _q(
+            """SELECT 'run' || k AS name, 'm' || k AS model, CAST(10 * k AS VARCHAR) AS epochs, CAST(1.5 * k AS DOUBLE) AS elapsed,
+               round(CAST(CAST(2 * CAST(tp_p AS DOUBLE) * tp_r / (CAST(tp_p AS DOUBLE) + tp_r) AS FLOAT) AS DOUBLE), 5) AS f1,
+               round(CAST(tp_p AS DOUBLE), 5) AS precision, round(CAST(tp_r AS DOUBLE), 5) AS recall
+               FROM (SELECT board % 4 AS k, CAST(sum(tp) / CAST(sum(pred_count) AS DOUBLE) AS FLOAT) AS tp_p, CAST(sum(tp) / CAST(sum(gt_count) AS DOUBLE) AS FLOAT) AS tp_r
+                     FROM per_board GROUP BY 1)""",
+            _EVAL, recursive=True,
+        ),
+        "frames_in_order": _q(
+            """SELECT board, frame, row_number() OVER (ORDER BY board, frame) - 1 AS place, row_number() OVER (ORDER BY stem) - 1 AS name_place FROM frames"""
+        ),
         "eval_aggregate": _q(
             """SELECT boards, total_pred, total_gt, total_tp, total_fp, total_fn, round(total_tp / CAST(total_pred AS DOUBLE), 5) AS precision,
                round(total_tp / CAST(total_gt AS DOUBLE), 5) AS recall, round(CAST(CAST(s / total_tp AS FLOAT) AS DOUBLE), 5) AS mean_iou_micro,

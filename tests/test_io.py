@@ -119,6 +119,29 @@ def test_board_documents_round_trip(spark, tmp_path):
     assert (total.boards, total.total_tp, total.mean_iou_macro, total.over_merge_pct) == (2, 2, 1.0, 0.0)
     writers.write_eval_report(ev, str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report" / "per_board")).count() == 2
+    report = json.loads((tmp_path / "report" / "eval_boards.json").read_text())
+    assert report["aggregate"]["total_tp"] == 2 and [b["matched_ious"] for b in report["per_board"]] == [[1.0, 1.0], []]
+
+
+def test_written_runs_are_listed(spark, tmp_path):
+    """Records and reports come back through the lister; a retried task leaves one whole file of each name."""
+    boards = spark.createDataFrame([(b, 0, [(0, 0), (9 + b, 0), (9 + b, 9), (0, 9)]) for b in range(3)], "board int, poly_id bigint, polygon array<struct<x:int,y:int>>")
+    for k, kept in enumerate(([0, 1, 2], [0], [])):
+        pred = boards.filter(F.col("board").isin(kept)) if kept else boards.filter("false")
+        ev = evaluation.evaluate_boards(pred, boards, pred_boards=boards)
+        writers.write_eval_report(ev, str(tmp_path / f"r{k}"))
+        writers.write_eval_report(ev, str(tmp_path / f"r{k}"))
+        writers.write_run_meta(spark, str(tmp_path / f"r{k}"), "train_yolo", {"model": "m", "epochs": k}, k + 0.12345, extra={"note": 1})
+    got = documents.sort_runs(documents.scan_runs(spark, str(tmp_path)), "f1").collect()
+    assert [(r.name, r.f1, r.epochs, r.elapsed) for r in got] == [("r0", 1.0, "0", 0.123), ("r1", 0.5, "1", 1.123), ("r2", None, "2", 2.123)]
+    assert [p.name for p in (tmp_path / "r0").iterdir() if p.name.startswith(".")] == []
+
+
+def test_first_frames_in_order(spark):
+    df = spark.createDataFrame([(b, f, f"{b}_{f}") for b in (2, 10, 1) for f in (0, 11, 2)], "board int, frame int, stem string")
+    listed = lambda **a: [r.stem for r in joins.frames_in_order(df, **a).orderBy("place").collect()]
+    assert listed(first=4) == ["1_0", "1_2", "1_11", "2_0"]
+    assert listed(by_name=True) == sorted(r.stem for r in df.collect())
 
 
 def test_splits_round_trip(spark, tmp_path):

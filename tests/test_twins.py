@@ -184,6 +184,21 @@ def test_mask_iou_equals_pixel_count():
     assert got[0] == pytest.approx(len(p & q) / len(p | q)) and got[1] == 1
 
 
+def test_mask_iou_table_equals_pixel_count(spark):
+    rnd = random.Random(4)
+    box = lambda x, y, w, h: [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    shape = lambda: rnd.choice([
+        [(int(x), int(y)) for x, y in zip(*ellipse(rnd.randint(20, 60), rnd.randint(20, 50), rnd.randint(2, 25), rnd.randint(2, 20), 9))],
+        box(rnd.randint(0, 40), rnd.randint(0, 30), rnd.randint(1, 30), rnd.randint(1, 30)), box(10, 10, 30, 20)[::-1], [(5, 5), (9, 9)], [(5, 5), (25, 25), (25, 5), (5, 25)],
+    ])
+    rows = [(i, shape(), shape()) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, a array<struct<x:int,y:int>>, b array<struct<x:int,y:int>>")
+    got = {r.id: r.mask_iou for r in raster.with_mask_iou(df, "a", "b").collect()}
+    flat = lambda k, c: [np.array([p[c] for p in r[k]]) for r in rows]
+    want = outline.mask_ious(flat(1, 0), flat(1, 1), flat(2, 0), flat(2, 1))
+    assert [got[i] for i in range(120)] == want.tolist() and 0 < sum(want > 0) < 120
+
+
 def test_stitch_merges_neighbouring_frames(spark):
     """An object seen in two frames becomes one polygon; a frame-edge box is clipped to the canvas."""
     dims = spark.createDataFrame([(7, f, 640, 220) for f in range(3)], "board int, frame int, img_w int, img_h int")
