@@ -92,6 +92,13 @@ def test_rule_statistics(spark, docs):
         assert r.base_failed == (base[0] < 20 or 100 * base[4] > 30 * base[0]) and not (r.base_failed and r.kept)
 
 
+def test_rules_learn_from_few_labels(spark):
+    d = "/root/testdata/sf0.01"
+    out = queries.op4_quality_rules(spark, d).join(read_table(spark, d, "labels"), "doc_id").toPandas()
+    held = out[[zlib.crc32(str(x).encode()) % 4 == 2 for x in out.doc_id]]
+    assert held[held.quality == 0].kept.mean() <= 0.15 and held[held.quality == 1].kept.mean() >= 0.9
+
+
 def test_rules_find_a_planted_threshold(spark):
     texts = [(i, " ".join(f"w{i}x{j}" + ("!" if i % 3 == 0 else "") for j in range(30))) for i in range(600)]
     rows = spark.createDataFrame(texts, "doc_id bigint, text string")
@@ -342,6 +349,29 @@ def test_odd_rows(spark, odd, tmp_path):
     assert [r.doc_id for r in back] == [None, 1, 2, 3, 4, 4, 5, 6, 7, 8]
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_learning_without_rows(spark, empty):
+    """No labels, one class only, or no documents: defined results."""
+    docs = spark.createDataFrame([] if empty else [(i, f"some words {i} " * 9, "en") for i in range(40)], "doc_id bigint, text string, lang string")
+    stats = docs.select("doc_id", textstats.text_statistics(F.col("text")).alias("stats"))
+    one_class = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id bigint, quality int")
+    for labels in (one_class, one_class.filter("false")):
+        assert rules.learn_rules(stats, labels) == []
+        model = quality.fit_quality(quality.with_statistics(docs), labels)
+        scores = [r.s for r in quality.with_statistics(docs).select(quality.score_udf(model)("stats").alias("s")).collect()]
+        assert len(scores) == docs.count() and all(0 <= s <= 1 for s in scores)
+    predicted = docs.select(langid.predict_udf(langid.fit_languages(docs))("text").alias("p")).select("p.*").collect()
+    assert {r.lang_pred for r in predicted} <= {"en"} and len(predicted) == docs.count()
+
+
+def test_html_through_spark(spark):
+    rows = [(1, None, None), (2, "u", ""), (3, "u", "<p>" + "long text " * 60000 + "</p>"), (4, "u", "<article><p>Hi.</p></article>"), (4, "u", "<article><p>Hi.</p></article>"), (None, "u", "<nav>x</nav>")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
+    got = pages.select("page_id", F.coalesce(html_extract.extract(F.col("html")), F.lit("")).alias("t")).collect()
+    assert sorted((r.page_id or 0, len(r.t)) for r in got) == [(0, 0), (1, 0), (2, 0), (3, 599999), (4, 3), (4, 3)]
+    assert pages.filter("false").select(html_extract.extract(F.col("html"))).collect() == []
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_stages_on_odd_rows(spark, odd, empty):
     rows = odd.filter("false") if empty else odd
