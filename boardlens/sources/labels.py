@@ -22,7 +22,9 @@ from boardlens.functions.geometry import (
     round_half_even,
     yolo_corners,
 )
+from boardlens.operators.joins import keep_boards
 from boardlens.sources.frames import keyed_by_stem
+from boardlens.sources.listing import list_files, with_content
 
 FRAME = ["board", "frame"]
 _NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
@@ -35,17 +37,16 @@ class Labels(NamedTuple):
     rejects: DataFrame  # board, frame, line_no, line, reason
 
 
-def scan_label_files(spark: SparkSession, labels_dir: str) -> DataFrame:
-    """One row per ``<board>_<frame>.txt``: board, frame, text, annots (non-blank lines).
+def scan_label_files(spark: SparkSession, labels_dir: str, boards: DataFrame | list[int] | None = None) -> DataFrame:
+    """One row per ``<board>_<frame>.txt``: board, frame, text, annots (non-blank lines); no file of another board is opened.
 
-    The file sources of Spark SQL leave out empty files, which do count here, so the files come
-    in through ``wholeTextFiles``.
+    Empty files count here, which the file sources of Spark SQL leave out; the listing has them. Bytes that are no
+    UTF-8 are replaced.
     """
-    context = spark.sparkContext
-    files = context.wholeTextFiles(f"{labels_dir.rstrip('/')}/*.txt", minPartitions=4 * context.defaultParallelism)
-    keyed = keyed_by_stem(spark.createDataFrame(files, "path string, text string"))
+    keyed = keep_boards(keyed_by_stem(list_files(spark, labels_dir, ".txt")).select(*FRAME, "path"), boards)
+    texts = with_content(keyed).select(*FRAME, F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
     lines = F.filter(F.split("text", "\r?\n"), lambda v: v.rlike(r"\S"))
-    return keyed.select(*FRAME, "text", F.size(lines).cast("bigint").alias("annots"))
+    return texts.select(*FRAME, "text", F.size(lines).cast("bigint").alias("annots"))
 
 
 def label_lines(files: DataFrame) -> DataFrame:
@@ -54,8 +55,8 @@ def label_lines(files: DataFrame) -> DataFrame:
     return numbered.filter(F.col("line").rlike(r"\S"))
 
 
-def scan_label_lines(spark: SparkSession, labels_dir: str) -> DataFrame:
-    return label_lines(scan_label_files(spark, labels_dir))
+def scan_label_lines(spark: SparkSession, labels_dir: str, boards: DataFrame | list[int] | None = None) -> DataFrame:
+    return label_lines(scan_label_files(spark, labels_dir, boards))
 
 
 def _tokens() -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from boardlens.functions.geometry import box_polygon
 from boardlens.operators import evaluation, joins, pixels, scoring, splitting, stitching
-from boardlens.sources import documents, frames, labels, writers
+from boardlens.sources import documents, frames, labels, listing, writers
 from boardlens.streaming import incremental
 
 
@@ -51,8 +51,6 @@ def data(tmp_path):
 def test_scan_and_decode(spark, data):
     listed = frames.scan_frames(spark, str(data / "images"))
     assert sorted((r.board, r.frame) for r in listed.collect()) == [(1, 0), (1, 1), (1, 3), (2, 0), (2, 1), (3, 0)]
-    scan = listed._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in scan
     assert frames.scan_frames(spark, str(data / "images"), boards=[2]).count() == 2
     assert frames.scan_frames(spark, str(data / "images"), boards=[]).count() == 0
     dims = frames.frame_dims(spark, str(data / "images"))
@@ -63,6 +61,31 @@ def test_scan_and_decode(spark, data):
     assert np.array_equal(pixels.bgr_array(first.pixels, 32, 64, first.channels)[:, :, ::-1], strip_image())
 
 
+def test_headers_and_boards_are_read_alone(spark, data):
+    images, texts = data / "images", data / "labels"
+    with open(images / "4_0.png", "wb") as f:  # as large as no job could read: only its header is there
+        f.write(pixels.encode_png(strip_image())[: frames.HEADER])
+        f.truncate(1 << 40)
+    (images / "5_0.png").write_bytes(b"")
+    (images / "007_2.png").write_bytes((images / "1_0.png").read_bytes())
+    (texts / "007_2.txt").write_bytes(b"0 0.5 0.5 0.25 0.25 \xff\r\n")
+    for other in (images / "8_0.png", texts / "8_0.txt"):  # would fill the memory of whatever opens it
+        with open(other, "wb") as f:
+            f.truncate(1 << 40)
+    boards = [1, 2, 3, 4, 5, 7]
+    table = spark.createDataFrame([(b,) for b in boards], "board int")
+    expected = [(1, 0), (1, 1), (1, 3), (2, 0), (2, 1), (3, 0), (4, 0), (7, 2)]
+    for chosen in (boards, table):
+        dims = frames.frame_dims(spark, str(images), boards=chosen)
+        assert sorted((r.board, r.frame) for r in dims.filter("img_w = 64 and img_h = 32").collect()) == expected
+        files = labels.scan_label_files(spark, str(texts), boards=chosen)
+        assert {(r.board, r.frame): r.annots for r in files.collect()} == {(1, 0): 3, (1, 1): 3, (1, 9): 0, (3, 0): 1, (7, 2): 1}
+        assert files.filter("board = 7").first().text.endswith("\ufffd\r\n")
+    assert labels.scan_label_files(spark, str(texts), boards=[]).count() == 0
+    assert sorted({r.board for r in frames.decode_frames(spark, str(images), boards=[2, 7]).collect()}) == [2, 7]
+    assert listing.storage("file:/a/b c%20.png")[1:] == ("/a/b c%20.png", "") == listing.storage("file:///a/b c%20.png")[1:]
+
+
 def test_label_variants(spark, data):
     files = labels.scan_label_files(spark, str(data / "labels"))
     assert {(r.board, r.frame): r.annots for r in files.collect()} == {(1, 0): 3, (1, 1): 3, (1, 9): 0, (3, 0): 1}
