@@ -69,3 +69,29 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataF
     inside = Window.partitionBy("_part").orderBy(*order)
     numbered = dealt.withColumn("_row", F.row_number().over(inside)).join(offsets, "_part")
     return numbered.withColumn(name, (F.col("_offset") + F.col("_row") - 1).cast("bigint")).drop("_part", "_row", "_offset")
+
+
+def ranges_of(df: DataFrame, by: list[str], order: Column, ranges: int | None = None) -> DataFrame:
+    """``df``, written, with the number ``_part`` of the range of (group, order) each row lies in."""
+    keys = [*[F.col(c) for c in by], order]
+    wide = cut(df).repartitionByRange(*([ranges] if ranges else []), *keys)  # finding the ranges reads the rows once more
+    return cut(wide.withColumn("_part", F.spark_partition_id()))
+
+
+def running_sums(df: DataFrame, by: list[str], order: Column, values: list[str], ranges: int | None = None) -> DataFrame:
+    """``df`` with each of the integer columns ``values`` replaced by its sum up to the row, in the order given within each group.
+
+    Rows are dealt into ranges of (group, order), as many as asked for or as a shuffle has, by quantiles that Spark samples: however the
+    order's values lie, a range holds about its share of the rows. A range sums its own rows and adds the totals of the
+    ranges before it. The order leaves no ties in a group. Groups by null are groups.
+    """
+    dealt = ranges_of(df, by, order, ranges)
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*by, "_part").agg(*[F.sum(v).alias(v) for v in values])
+    base = totals.select(
+        F.struct(*by).alias("_key"), F.col("_part").alias("_at"), *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_{v}") for v in values]
+    )
+    inside = Window.partitionBy("_part", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = dealt.withColumns({v: F.sum(v).over(inside) for v in values})
+    met = summed.join(base, (F.col("_part") == F.col("_at")) & F.struct(*by).eqNullSafe(F.col("_key")))
+    return met.withColumns({v: F.col(v) + F.col(f"_{v}") for v in values}).select(*df.columns)

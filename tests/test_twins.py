@@ -387,6 +387,22 @@ def test_ranks_over_wide_id_ranges(spark):
     assert nxt == {(g, i): n for g in (1, 2) for i, n in zip(order, [*order[1:], None])}
 
 
+def test_running_sums_of_crowded_values(spark):
+    rng = np.random.default_rng(5)
+    # nearly all values of the hot group lie within a millionth of 1
+    conf = np.unique(np.concatenate([1 - rng.random(6000) * 1e-6, rng.random(40)]))
+    rows = [("hot", float(c), int(rng.integers(5))) for c in conf] + [(None, 0.25, 2), (None, 0.5, 3), ("b", 0.5, 7)]
+    df = spark.createDataFrame(rows, "g string, conf double, n bigint").repartition(7)
+    got = {(r.g, r.conf): r.n for r in ranking.running_sums(df, ["g"], F.col("conf").desc(), ["n"], ranges=6).collect()}
+    assert len(got) == len(rows)
+    for g in ("hot", "b", None):
+        own = sorted(((c, n) for k, c, n in rows if k == g), reverse=True)
+        assert [got[g, c] for c, _ in own] == np.cumsum([n for _, n in own]).tolist()
+    shares = ranking.ranges_of(df, ["g"], F.col("conf").desc(), 6).groupBy("_part").count().collect()
+    assert len(shares) >= 5 and max(r["count"] for r in shares) < 2 * len(rows) / 6
+    assert ranking.running_sums(df.limit(0), ["g"], F.col("conf").desc(), ["n"]).count() == 0
+
+
 def test_split_is_independent_of_partitioning(spark):
     feats = [(b, 4 + b * 7 % 30, 0.0 if b % 3 else 0.4) for b in range(60)]
     df = spark.createDataFrame(feats, "board int, frames int, cluster_frac double")
