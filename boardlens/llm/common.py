@@ -53,6 +53,26 @@ def sum_arrays(partials: DataFrame, size: int) -> np.ndarray:
     return total
 
 
+def sum_slices(partials: DataFrame, width: int, slices: int) -> np.ndarray:
+    """Add up float64 vectors of ``slices`` equal slices of ``width`` numbers, given as (part int, slice int, data binary).
+
+    Slices are added in up to SUM_GROUPS groups of parts and these once more, so that a group holds little however long the
+    vectors are and however many tasks gave one, and the driver gets every slice once. A slice that nobody gave is zero.
+    """
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(width)
+        for data in rows["data"]:
+            total += np.frombuffer(data)
+        return pd.DataFrame({"slice": rows["slice"].iloc[:1], "data": [total.tobytes()]})
+
+    partly = partials.groupBy("slice", F.pmod("part", F.lit(SUM_GROUPS))).applyInPandas(add, "slice int, data binary")
+    total = np.zeros((slices, width))
+    for row in partly.groupBy("slice").applyInPandas(add, "slice int, data binary").collect():
+        total[row.slice] = np.frombuffer(row.data)
+    return total.reshape(-1)
+
+
 def word_bytes(text: str) -> list[bytes]:
     """The words of a text: runs of anything but ASCII white space, in UTF-8."""
     return text.encode("utf-8", "surrogatepass").split()

@@ -212,7 +212,50 @@ def test_language_held_out(spark, odd):
     out = queries.op8_language_id(spark, d).join(read_table(spark, d, "documents").select("doc_id", "lang"), "doc_id").filter("lang is not null").toPandas()
     held = out[out.held_out & (out.lang_pred != "und")]
     assert (held.lang_pred == held.lang).mean() > 0.97
-    assert [langid.fit_languages(odd).predict(x)[0] for x in (None, "", "12 3")] == ["und"] * 3
+    assert langid.fit_languages(odd).predict([None, "", "12 3"])[0] == ["und"] * 3
+
+
+def plain_buckets(text):
+    """The hash of every n-gram, one by one."""
+    text = text.lower()
+    for order in langid.ORDERS:
+        for i in range(len(text) - order + 1):
+            h = order
+            for c in text[i : i + order]:
+                h = ((h ^ ord(c)) * int(langid._MIX)) & 0xFFFFFFFF
+                h ^= h >> 15
+            yield h % langid.BUCKETS
+
+
+def test_language_equals_plain_naive_bayes(spark, monkeypatch):
+    """Counts, priors and posteriors against dictionaries, with texts cut into chunks and gathers into steps."""
+    monkeypatch.setattr(langid, "CHUNK", 50)
+    monkeypatch.setattr(langid, "CELLS", 40)
+    docs = read_table(spark, SF, "documents").select("doc_id", F.substring("text", 1, 300).alias("text"), "lang").orderBy("doc_id").limit(60)
+    docs = docs.unionByName(spark.createDataFrame([(-1, "", "aa"), (-2, "x\ud55c\U0001F600 y", "aa"), (-3, None, "bb"), (-4, "z", None), (5, "repeated", "en")], docs.schema))
+    docs = docs.unionByName(docs.filter("doc_id = 5"))
+    rows = docs.collect()
+    learnt = [r for r in rows if r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    names = sorted({r.lang for r in learnt})
+    counts = {name: Counter() for name in names}
+    for r in learnt:
+        counts[r.lang].update(plain_buckets(r.text))
+    model = langid.fit_languages(docs)
+    assert model.languages == names
+    for r in rows:
+        if not r.text or not any(map(str.isalpha, r.text)):
+            assert model.predict([r.text])[0] == ["und"]
+            continue
+        joint = []
+        for name in names:
+            total = sum(counts[name].values()) + langid.SMOOTHING * langid.BUCKETS
+            prior = sum(x.lang == name for x in learnt) / len(learnt)
+            joint.append(np.log(prior) + sum(np.log((counts[name][b] + langid.SMOOTHING) / total) for b in plain_buckets(r.text)))
+        joint = np.array(joint)
+        got = model.log_joint([r.text, "other", r.text])
+        assert np.allclose(got[[0, 2]], joint, rtol=1e-5)
+        name, score = model.predict([None, r.text])
+        assert name[1] == names[joint.argmax()] and abs(score[1] - 1 / np.exp(joint - joint.max()).sum()) < 1e-3
 
 
 def test_lm_scores_prefer_the_target(spark):
