@@ -60,6 +60,31 @@ def test_union_equals_flood_fill(spark, chunk):
     assert {k: (r.area, r.x1, r.x2) for k, r in got.items()} == want
 
 
+@pytest.mark.parametrize("budget", [1 << 19, 40])
+def test_union_of_shapes_equals_union_of_their_spans(spark, monkeypatch, budget):
+    """Rectangles and cut rings go to tiles whole; a task with little room puts a crowded tile together bit by bit."""
+    monkeypatch.setattr(raster, "DRAWN_ROWS", budget)
+    rows = [(b, *r) for b, _, *r in random_boxes(150)]
+    boxes = spark.createDataFrame(rows, "board int, x1 int, y1 int, x2 int, y2 int")
+    ring = F.array("x1", "y1", "x2", "y1", "x2", "y2", "x1", "y2")
+    none = F.lit(None).cast("array<int>")
+    mixed = boxes.withColumn("ring", F.when(F.col("x1") % 2 == 0, ring).otherwise(none))
+    key = lambda df: sorted((r.board, r.comp, r.area, r.x1, r.y1, r.x2, r.y2) for r in raster.region_stats(df, ["board"]).collect())
+    want = key(raster.union_components(raster.rasterize_boxes(boxes), ["board"], 64))
+    assert key(raster.union_components(boxes, ["board"], 64)) == want
+    assert key(raster.union_components(mixed, ["board"], 64)) == want
+    area = {r.board: r.area for r in raster.union_area(boxes, ["board"], 64).collect()}
+    assert area == {b: sum(w[2] for w in want if w[0] == b) for b in area} and len(area) == 3
+
+
+def test_tall_shapes_stay_few_rows(spark):
+    """The union of a rectangle of 200,000 rows is one block, its outline four corners."""
+    boxes = spark.createDataFrame([(1, 3, 0, 90, 199_999), (1, 40, 100, 120, 150_000)], "board int, x1 int, y1 int, x2 int, y2 int")
+    assert [tuple(r) for r in raster.merged_blocks(boxes.limit(1), ["board"]).drop("board", "chunk").collect()] == [(0, 199_999, 3, 90)]
+    got = raster.trace_regions(raster.union_components(boxes, ["board"]), ["board"]).first()
+    assert (got.area, len(got.polygon)) == (88 * 200_000 + 30 * 149_901, 8)
+
+
 def test_hole_and_island_are_dropped(spark):
     ring = [(0, 0, 60, 5), (0, 55, 60, 60), (0, 0, 5, 60), (55, 0, 60, 60), (25, 25, 30, 30), (100, 10, 110, 20)]
     df = spark.createDataFrame([(1, i, *r) for i, r in enumerate(ring)], f"board int, id bigint, {BOX}")
@@ -199,6 +224,14 @@ def test_mask_iou_table_equals_pixel_count(spark):
     assert [got[i] for i in range(120)] == want.tolist() and 0 < sum(want > 0) < 120
 
 
+def test_mask_iou_of_long_outlines_equals_that_of_short_ones(spark):
+    rnd = random.Random(14)
+    shape = lambda: [(int(x), int(y)) for x, y in zip(*ellipse(rnd.randint(20, 60), rnd.randint(20, 50), rnd.randint(2, 25), rnd.randint(2, 20), 9))]
+    df = spark.createDataFrame([(i, shape(), shape()) for i in range(40)], "id int, a array<struct<x:int,y:int>>, b array<struct<x:int,y:int>>")
+    each = [{r.id: r.mask_iou for r in raster.with_mask_iou(df, "a", "b", at_once=n).collect()} for n in (1 << 16, 300, 0)]
+    assert each[0] == each[1] == each[2] and len(each[0]) == 40
+
+
 def test_stitch_merges_neighbouring_frames(spark):
     """An object seen in two frames becomes one polygon; a frame-edge box is clipped to the canvas."""
     dims = spark.createDataFrame([(7, f, 640, 220) for f in range(3)], "board int, frame int, img_w int, img_h int")
