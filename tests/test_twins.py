@@ -388,6 +388,34 @@ def test_iou_groups_of_crowds(spark, t):
     assert got == {k: want[k] for k in got} and len(got) > 400
 
 
+@pytest.mark.parametrize("at_once", [10, 1 << 12])
+def test_small_and_large_groups_agree(spark, monkeypatch, at_once):
+    """Groups tasks look at whole and groups spread over the grid give the same; few pairs fit at once."""
+    monkeypatch.setattr(pairs, "GROUP_BOXES", at_once)
+    rows = crowds(7)
+    df = spark.createDataFrame(rows, "frame int, ann_id bigint, x1 double, y1 double, x2 double, y2 double")
+    same = lambda a, b: a == b or iou([np.float32(x) for x in a], [np.float32(x) for x in b]) >= np.float32(0.4)
+    want = grouped_by(rows, same)
+    got = {(r.frame, r.ann_id): r.comp for r in pairs.iou_groups(df, 0.4, ["frame"], "ann_id").collect()}
+    assert got == {k: want[k] for k in got} and len(got) > 400
+    box = lambda name, shift: df.select(F.col("frame").alias("board"), F.col("ann_id").alias(name), (F.col("x1") + shift).alias("x1"), "y1", (F.col("x2") + shift).alias("x2"), "y2")
+    found = [(r.board, r.pred_id, r.gt_id, r.bbox_iou) for r in matching.greedy_match(box("pred_id", 1), box("gt_id", 0), 0.2).collect()]
+    first = lambda dx: {(f, x1 + dx, y1, x2 + dx, y2): min(r[1] for r in rows if (r[0], *r[2:]) == (f, x1, y1, x2, y2)) for f, _, x1, y1, x2, y2 in rows}
+    p0, g0 = first(1), first(0)
+    moved = [(f, i, x1 + 1, y1, x2 + 1, y2) for f, i, x1, y1, x2, y2 in rows]
+    f32 = lambda r: [np.float32(x) for x in r[2:]]
+    cand = sorted(
+        (p[0], -v, p0[(p[0], *p[2:])], g0[(g[0], *g[2:])], p[1], g[1])
+        for p in moved for g in rows if p[0] == g[0] and (v := iou(f32(p), f32(g))) >= np.float32(0.2)
+    )
+    used, pairs_wanted = set(), set()
+    for f, _, _, _, i, j in cand:
+        if ("p", f, i) not in used and ("g", f, j) not in used:
+            used |= {("p", f, i), ("g", f, j)}
+            pairs_wanted.add((f, i, j))
+    assert {m[:3] for m in found} == pairs_wanted and len(found) > 100
+
+
 def test_near_pairs_and_clusters(spark):
     rnd = random.Random(8)
     rows = []
