@@ -119,6 +119,17 @@ def test_seg_lines(spark):
     assert {r.line_no: r.reason for r in got.rejects.collect()} == {1: "few_tokens", 2: "odd_coordinates", 3: "not_numeric"}
 
 
+def test_tokens_are_split_at_any_white_space(spark):
+    text = ["  0 0.5\t0.5  0.1 \x0b 0.1\r", "0\f0.5 0.5 0.1 0.1 ", "   ", "0 0.5 0.5 0.1", "0\u00a00.5 0.5 0.1 0.1"]
+    lines = spark.createDataFrame([(1, 0, i, t) for i, t in enumerate(text)], "board int, frame int, line_no int, line string")
+    dims = spark.createDataFrame([(1, 0, 100, 50)], "board int, frame int, img_w int, img_h int")
+    got = labels.labels_float(lines, dims)
+    assert sorted(r.line_no for r in got.boxes.collect()) == [0, 1]
+    assert {r.line_no: r.reason for r in got.rejects.collect()} == {2: "few_tokens", 3: "few_tokens", 4: "few_tokens"}
+    plan = got.boxes._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan  # two patterns a line took most of the time
+
+
 def test_board_documents_round_trip(spark, tmp_path):
     dims = spark.createDataFrame([(b, f, 640, 220) for b in (1, 2) for f in range(2)], "board int, frame int, img_w int, img_h int")
     boxes = spark.createDataFrame(

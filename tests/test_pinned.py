@@ -1,5 +1,6 @@
 """Pinned expectations of the geometry and matching operators."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,14 @@ def test_simplify_keeps_dropped_points_close():
     ring = outline.row_ring(list(range(9)), [4, 3, 2, 1, 0, 1, 2, 3, 4], [4, 5, 6, 7, 8, 7, 6, 5, 4])
     assert set(outline.simplify_closed(ring, 1.0)) <= set(ring)
     assert sorted(outline.simplify_closed(ring, 0.5)) == [(0, 4), (4, 0), (4, 8), (8, 4)]
+
+
+def test_seg_text_of_ties_and_large_sizes(spark):
+    """Quotients on a decimal tie and beyond one go as printf sends them; one size does not leak into another."""
+    rows = [(x, y, w, h) for w, h in ((640, 220), (640, 64), (3, 7)) for x, y in ((1, 33), (5, 11), (639, 219), (1290, 700), (-5, 0))]
+    df = spark.createDataFrame([([(x, y)], w, h) for x, y, w, h in rows], "p array<struct<x:int,y:int>>, w int, h int")
+    got = [r[0] for r in df.select(G.seg_text("p", F.col("w"), F.col("h"))).collect()]
+    assert got == ["0 %.6f %.6f" % (x / w, y / h) for x, y, w, h in rows]
+    from boardlens.functions import numbers
+
+    assert numbers.six_decimals(np.array([1, 33]), 640, 220) == "%.6f 0.150000" % (1 / 640)  # looked up, not built by Catalyst
