@@ -321,6 +321,20 @@ def test_greedy_settles_a_long_chain(spark, monkeypatch, backwards):
     assert len(tables) < 40
 
 
+@pytest.mark.parametrize("backwards", [False, True])
+def test_greedy_follows_a_chain_through_many_ranges(spark, monkeypatch, backwards):
+    """A large group spread over tables: tasks follow pointers inside ranges of ids, and only their last steps are doubled."""
+    monkeypatch.setattr(pairs, "GROUP_BOXES", 100)
+    monkeypatch.setattr(matching, "NEAR_BITS", 5)
+    n = 1000
+    tables = []
+    monkeypatch.setattr(matching, "cut", lambda df, cut=matching.cut: tables.append(1) or cut(df))
+    rows = lambda shift, name: spark.range(n).selectExpr("0 board", f"{'999 - id' if backwards and name == 'pred_id' else 'id'} {name}", f"20 * id + {shift} x1", "0L y1", f"20 * id + {shift} + 30 x2", "9L y2")
+    got = {(r.pred_id, r.gt_id) for r in matching.greedy_match(rows(0, "pred_id"), rows(10, "gt_id"), 0.5).collect()}
+    assert got == ({(n - 1 - i, i - 1) for i in range(1, n)} if backwards else {(i, i) for i in range(n)})
+    assert len(tables) < 18
+
+
 def test_greedy_with_crowded_nodes(spark):
     """Random candidates over few boxes with copies, in the order of a sequential pass."""
     rnd = random.Random(12)
