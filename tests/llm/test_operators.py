@@ -378,6 +378,40 @@ def test_similar_groups_with_added_passages(spark):
     assert got == set(roots(sets, near).values())
 
 
+def joined_rows(spark, run):
+    """What ``run`` returns, and the rows that all joins of its jobs made."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    known = store.executionsCount()
+    out = run()
+    spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+    made, listed = 0, store.executionsList()
+    for i in range(known, listed.size()):
+        at = listed.apply(i).executionId()
+        nodes, values = store.planGraph(at).allNodes(), store.executionMetrics(at)
+        for node in (nodes.apply(k) for k in range(nodes.size())):
+            ids = [m.accumulatorId() for m in (node.metrics().apply(k) for k in range(node.metrics().size())) if m.name() == "number of output rows"]
+            made += sum(int(values.apply(x).replace(",", "")) for x in ids if "Join" in node.name() and values.contains(x))
+    return out, made
+
+
+def test_edited_copies_do_not_all_meet(spark):
+    """Copies of a text with so many edits that few are similar to each other: all share its shingles, candidates stay few."""
+    rng = np.random.default_rng(23)
+    base = [f"w{x}" for x in rng.integers(0, 4000, 150)]
+    rows = []
+    for k in range(600):
+        words = list(base)
+        for at in rng.integers(0, 150, 1 + k % 12):
+            words[at] = f"e{rng.integers(0, 10**9)}"
+        rows.append((k, " ".join(words)))
+    sets = {i: set(simhash.shingle_hashes(x, 5).tolist()) for i, x in rows}
+    near = [(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    kept, made = joined_rows(spark, lambda: {r.doc_id for r in similar.distinct_documents(docs).collect()})
+    assert kept == set(roots(sets, near).values())
+    assert made < 60 * len(rows)
+
+
 def test_odd_rows(spark, odd, tmp_path):
     benchmark = spark.createDataFrame([(1, "one two three four five"), (2, None), (3, "")], "item_id bigint, text string")
     assert quality.with_statistics(odd).count() == len(ODD)
