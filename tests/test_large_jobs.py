@@ -29,3 +29,52 @@ def test_mask_iou_names_a_polygon_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("_mask_iou(") == 1 and plan.count("array_max") == 0  # long expressions are not compiled
     assert {r.id: r.mask_iou for r in found.collect()} == {1: 1.0, 2: 0.0, 3: 0.0}
+
+
+def test_rows_between_edges_are_drawn_once():
+    """Tall shapes are a few slabs, not a run for each of their rows."""
+    import pyarrow as pa
+
+    boxes = [(0, 9_999, 3, 90), (100, 5_000, 40, 120), (100, 5_000, 300, 310)]
+    table = pa.table({"board": pa.array([1] * 3, pa.int32()), "chunk": [0] * 3, **{c: pa.array(v, pa.int32()) for c, v in zip(("y1", "y2", "x1", "x2"), zip(*boxes))}})
+    slab, *_ = raster._tile_runs(table, np.array([0]), 1024)
+    assert len(slab) == 4
+    found = raster._tile_parts(["board", "chunk"], 1024, True)(table, np.array([0])).to_pylist()
+    assert [(r["area"], r["y2"], list(r["blocks"])) for r in found] == [
+        (88 * 10_000 + 30 * 4_901, 9_999, [0, 99, 3, 90, 100, 5_000, 3, 120, 5_001, 9_999, 3, 90]),
+        (11 * 4_901, 5_000, [100, 5_000, 300, 310]),
+    ]
+
+
+def test_equal_shapes_are_drawn_once_and_alike():
+    rnd = np.random.default_rng(3)
+    kinds = [[(0, 0), (9, 2), (4, 8)], [(2, 0), (6, 0), (8, 2), (8, 5), (6, 7), (2, 7), (0, 5), (0, 2)], [(0, 0), (7, 7), (7, 0), (0, 7)], [(3, 3)], []]
+    shapes = [[(x + dx, y + dy) for x, y in kinds[k]] for k, dx, dy in zip(rnd.integers(0, 5, 60), rnd.integers(-40, 4000, 60), rnd.integers(-9, 200, 60))]
+    xs, ys = ([np.array([p[k] for p in s], np.int64) for s in shapes] for k in (0, 1))
+    polygon, blocks = outline.drawn_blocks(np.concatenate(xs), np.concatenate(ys), np.array([len(s) for s in shapes]))
+    got = {(p, y, x) for p, (y1, y2, x1, x2) in zip(polygon.tolist(), blocks.tolist()) for y in range(y1, y2 + 1) for x in range(x1, x2 + 1)}
+    want = {(p, y, x) for p, spans in enumerate(outline.filled_spans(xs, ys)) for y, a, b in spans.reshape(-1, 3).tolist() for x in range(a, b + 1)}
+    assert got == want
+
+
+def test_borders_of_a_batch_are_those_of_each_region(monkeypatch):
+    monkeypatch.setattr(outline, "_traced", {})
+    square, hollow = [0, 4, 0, 4, 2, 2, 5, 6], [0, 0, 0, 9, 1, 5, 0, 0, 1, 5, 9, 9, 6, 6, 0, 9]
+    dot, line = [0, 0, 0, 0], [0, 0, 0, 5]
+    upwards = [9, 9, 4, 8, 0, 8, 7, 9]  # of two tiles, the lower part first
+    moved = lambda flat, dx, dy: [v + (dy if k % 4 < 2 else dx) for k, v in enumerate(flat)]
+    regions = [moved(f, 7 * k, 3 * k) for k, f in enumerate([square, hollow, dot, square, upwards, line, upwards, hollow])]
+    (flat, sizes), (gaps, holes) = outline.region_outlines(np.concatenate([np.array(r, np.int32) for r in regions]), np.array([len(r) for r in regions]), 1.0)
+    split = lambda v, n: [part.tolist() for part in np.split(v, np.cumsum(n)[:-1])]
+    for region, polygon, inner in zip(regions, split(flat, sizes), split(gaps, holes)):
+        ring, gap = outline.region_ring(*outline.merge_rows(*outline.rows_of(np.array(region).reshape(-1, 4))))
+        assert [tuple(p) for p in np.array(polygon).reshape(-1, 2).tolist()] == outline.simplify_closed(ring, 1.0)
+        assert inner == outline.blocks_of(*np.array(gap, np.int64).reshape(-1, 3).T).ravel().tolist()
+
+
+def test_statistics_of_regions_need_no_inner_blocks(spark):
+    rows = [(1, 10, 10, 20, 20), (1, 1000, 5, 1100, 9), (1, 1020, 9, 1030, 30), (2, 1023, 0, 1023, 0), (2, 1024, 1, 1024, 1)]
+    df = spark.createDataFrame(rows, "board int, x1 int, y1 int, x2 int, y2 int")
+    short = raster.union_components(df, ["board"], outlines=False)
+    key = lambda regions: sorted(tuple(r) for r in raster.region_stats(regions, ["board"]).collect())
+    assert "blocks" not in short.columns and key(short) == key(raster.union_components(df, ["board"])) and len(key(short)) == 3
