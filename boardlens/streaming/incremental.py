@@ -34,10 +34,17 @@ def write_frame_table(scored: DataFrame, path: str, boards_per_folder: int = 1,
 
 
 def newest_frames(history: DataFrame) -> DataFrame:
-    """The latest delivery of every frame. Deliveries of one time are ordered by a hash of their content, so the choice never depends on files."""
-    content = ["img_w", "img_h", "detections"]
+    """The latest delivery of every frame. Deliveries of one time are ordered by a hash of their content, so the choice never depends on files.
+
+    Only frames delivered more than once, which their keys tell, are shuffled with their content.
+    """
+    key, content = ["board", "frame"], ["img_w", "img_h", "detections"]
+    again = cut(history.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*key))
+    if again.isEmpty():
+        return history.select(*key, *content)
     latest = F.max_by(F.struct(*content), F.struct("delivered", F.xxhash64(*content)))
-    return history.groupBy("board", "frame").agg(latest.alias("_f")).select("board", "frame", "_f.*")
+    chosen = history.join(again, key, "left_semi").groupBy(*key).agg(latest.alias("_f")).select(*key, "_f.*")
+    return history.join(again, key, "left_anti").select(*key, *content).unionByName(chosen)
 
 
 def refresh_boards(batch: DataFrame, frame_table: str, out_table: str, stride: int, eps: float, boards_per_folder: int) -> None:
@@ -48,9 +55,9 @@ def refresh_boards(batch: DataFrame, frame_table: str, out_table: str, stride: i
     rebuilt board has a row, with a null polygon if none is left.
     """
     spark = batch.sparkSession
-    touched = batch.select("board_group").distinct()
+    touched = cut(batch.select("board_group").distinct())
     history = spark.read.schema(FRAME_TABLE).parquet(frame_table)
-    frames = cut(newest_frames(history.join(touched, "board_group", "left_semi")))
+    frames = newest_frames(history.join(touched, "board_group", "left_semi"))
     merged = run_boards(frames, stride, eps)
     whole = merged.boards.join(merged.polygons, "board", "left").withColumn("board_group", board_group(boards_per_folder))
     spread = whole.repartition(F.col("board_group"), F.floor(F.col("x1") / (1 << 20)))

@@ -78,3 +78,20 @@ def test_statistics_of_regions_need_no_inner_blocks(spark):
     short = raster.union_components(df, ["board"], outlines=False)
     key = lambda regions: sorted(tuple(r) for r in raster.region_stats(regions, ["board"]).collect())
     assert "blocks" not in short.columns and key(short) == key(raster.union_components(df, ["board"])) and len(key(short)) == 3
+
+
+def test_frames_delivered_once_are_not_shuffled(spark):
+    from boardlens.streaming import incremental
+
+    rows = spark.createDataFrame([(1, 0, 640, 220, "2024-01-01"), (1, 1, 640, 200, "2024-01-01"), (1, 1, 640, 210, "2024-01-02")], "board int, frame int, img_w int, img_h int, delivered string")
+    history = rows.selectExpr("board", "frame", "img_w", "img_h", "cast(null as array<int>) as detections", "cast(delivered as timestamp) as delivered", "0 as board_group")
+    once = incremental.newest_frames(history.filter("img_h <> 200"))
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString() and once.count() == 2
+    assert sorted((r.frame, r.img_h) for r in incremental.newest_frames(history).collect()) == [(0, 220), (1, 210)]
+
+
+def test_enclosed_regions_leave_without_a_shuffle_of_the_others(spark):
+    ring = [(0, 0, 60, 5), (0, 55, 60, 60), (0, 0, 5, 60), (55, 0, 60, 60), (25, 25, 30, 30), (100, 10, 110, 20)]
+    df = spark.createDataFrame([(1, *r) for r in ring], "board int, x1 int, y1 int, x2 int, y2 int")
+    traced = raster.trace_regions(raster.union_components(df, ["board"]), ["board"])
+    assert "hashpartitioning" not in traced._jdf.queryExecution().executedPlan().toString() and traced.count() == 2
