@@ -95,3 +95,15 @@ def test_enclosed_regions_leave_without_a_shuffle_of_the_others(spark):
     df = spark.createDataFrame([(1, *r) for r in ring], "board int, x1 int, y1 int, x2 int, y2 int")
     traced = raster.trace_regions(raster.union_components(df, ["board"]), ["board"])
     assert "hashpartitioning" not in traced._jdf.queryExecution().executedPlan().toString() and traced.count() == 2
+
+
+def test_iou_of_candidates_is_worked_out_once(spark):
+    from boardlens.operators import matching
+
+    boxes = lambda c, rows: spark.createDataFrame(rows, f"board int, {c} bigint, x1 int, y1 int, x2 int, y2 int")
+    p, g = boxes("pred_id", [(0, 1, 0, 0, 10, 10), (0, 2, 50, 0, 60, 10)]), boxes("gt_id", [(0, 7, 2, 0, 12, 10), (0, 8, 60, 0, 70, 10), (0, 9, 3, 3, 3, 9)])
+    found = matching.match_candidates(p, g, 0.5, ["board"], "pred_id", "gt_id")
+    join = next(line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line)
+    assert join.count("CASE WHEN") == 1  # two of them make the join's code too long to be compiled
+    assert [(r.pred_id, r.gt_id, round(r.iou, 4)) for r in found.collect()] == [(1, 7, 0.6667)]
+    assert matching.match_candidates(p, g, 0.0, ["board"], "pred_id", "gt_id").count() == 1
