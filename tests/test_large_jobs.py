@@ -107,3 +107,40 @@ def test_iou_of_candidates_is_worked_out_once(spark):
     assert join.count("CASE WHEN") == 1  # two of them make the join's code too long to be compiled
     assert [(r.pred_id, r.gt_id, round(r.iou, 4)) for r in found.collect()] == [(1, 7, 0.6667)]
     assert matching.match_candidates(p, g, 0.0, ["board"], "pred_id", "gt_id").count() == 1
+
+
+def _some_shapes(seed: int):
+    rnd = np.random.default_rng(seed)
+    rows = []
+    for k in range(160):
+        x, y, w, h = (int(v) for v in (rnd.integers(0, 60), rnd.integers(0, 30), rnd.integers(1, 20), rnd.integers(1, 12)))
+        box = [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+        polygon = [box, [(x, y), (x + w, y + h // 2), (x, y + h)], [(x + w // 2, y), (x + w, y + h), (x, y + h)], None][int(rnd.integers(0, 4))]
+        rows.append((int(rnd.integers(0, 3)), k, float(rnd.integers(1, 9)) / 10, x, y, x + w, y + h, polygon))
+    return rows + [(b, k + 200, c, *more) for b, k, c, *more in rows[:40]] + [(1, 999, 0.5, None, 0, 3, 3, None)]
+
+
+def test_best_hits_of_small_groups_are_those_of_large_ones(spark, monkeypatch):
+    from boardlens.operators import evaluation, pairs
+
+    schema = "board int, id bigint, conf double, x1 int, y1 int, x2 int, y2 int, polygon array<struct<x:int,y:int>>"
+    dets = spark.createDataFrame(_some_shapes(1), schema).withColumnRenamed("id", "det_id")
+    gts = spark.createDataFrame(_some_shapes(2), schema).withColumnRenamed("id", "gt_id").drop("conf")
+    for kind in ("box", "mask"):
+        both = evaluation._shapes_of_both(dets, gts, ["board"], kind)
+        small = sorted(tuple(r) for r in evaluation._detection_hits(both, ["board"]).collect())
+        with monkeypatch.context() as m:
+            m.setattr(pairs, "GROUP_BOXES", 10)
+            large = sorted(tuple(r) for r in evaluation._detection_hits(both, ["board"]).collect())
+        assert small == large and len(small) > 100
+
+
+def test_shapes_of_small_groups_are_shuffled_once(spark):
+    from boardlens.operators import evaluation
+
+    schema = "board int, frame int, cls int, id bigint, conf double, x1 int, y1 int, x2 int, y2 int"
+    df = spark.createDataFrame([(0, 0, 0, 1, 0.5, 0, 0, 9, 9)], schema)
+    key = ["board", "frame", "cls"]
+    both = evaluation._shapes_of_both(df.withColumnRenamed("id", "det_id"), df.withColumnRenamed("id", "gt_id"), key, "box")
+    plan = evaluation._detection_hits(both, key)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
