@@ -144,3 +144,20 @@ def test_shapes_of_small_groups_are_shuffled_once(spark):
     both = evaluation._shapes_of_both(df.withColumnRenamed("id", "det_id"), df.withColumnRenamed("id", "gt_id"), key, "box")
     plan = evaluation._detection_hits(both, key)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_matches_get_their_mask_iou_where_they_are_found(spark, monkeypatch):
+    """In small groups, in large ones and by joins afterwards, as for very long outlines, matches are the same."""
+    from boardlens.operators import evaluation, pairs
+
+    schema = "board int, poly_id bigint, conf double, x1 int, y1 int, x2 int, y2 int, polygon array<struct<x:int,y:int>>"
+    pred, gt = (spark.createDataFrame(_some_shapes(k), schema).select("board", "poly_id", "polygon") for k in (5, 6))
+    run = lambda: sorted(tuple(r) for r in evaluation.match_polygons(pred, gt, 0.2).collect())
+    small = run()
+    with monkeypatch.context() as m:
+        m.setattr(pairs, "GROUP_BOXES", 10)
+        large = run()
+    with monkeypatch.context() as m:
+        m.setattr(evaluation, "has_large", lambda *_: True)
+        joined = run()
+    assert small == large == joined and len(small) > 50 and len({r[4] for r in small}) > 5
