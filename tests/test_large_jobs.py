@@ -161,3 +161,13 @@ def test_matches_get_their_mask_iou_where_they_are_found(spark, monkeypatch):
         m.setattr(evaluation, "has_large", lambda *_: True)
         joined = run()
     assert small == large == joined and len(small) > 50 and len({r[4] for r in small}) > 5
+
+
+def test_labelled_frames_of_documents_are_derived_once(spark, monkeypatch):
+    from boardlens.plans import catalog
+
+    seen = []
+    real = catalog.stitching.stitch_gt
+    monkeypatch.setattr(catalog.stitching, "stitch_gt", lambda boxes, dims, **more: seen.append(dims.inputFiles()) or real(boxes, dims, **more))
+    catalog.board_documents(spark, "/root/testdata/sf0.001")
+    assert seen and not any("lineitem" in f for f in seen[0])
